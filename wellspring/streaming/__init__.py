@@ -1,0 +1 @@
+"""Every lineage input is a bounded corpus, so there is no streaming operator to offer."""
