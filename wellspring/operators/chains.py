@@ -162,32 +162,40 @@ def with_raw(chains: DataFrame, attrs: DataFrame, wins: str = "last") -> DataFra
     return chains.withColumn("chain_end", end).join(raw, "chain_end", "left").drop("chain_end")
 
 
-def widen(chains: DataFrame, path: Column, first: list[str], rest: str, start: int, *extra: str):
-    """One column per path position, as wide as the longest path; rows are distinct.
+def longest(chains: DataFrame) -> int:
+    """Number of tables in the longest path."""
+    return chains.select(F.max(F.size("path"))).first()[0] or 0
 
-    ``first`` names the leading positions, the others are ``rest`` numbered from ``start``.
+
+def widen(
+    rows: DataFrame, path: Column, width: int, first: list[str], rest: str, extra: list[str]
+) -> DataFrame:
+    """One column per path position plus ``extra`` columns; rows are distinct.
+
+    ``first`` names the leading positions, the others are ``rest`` numbered from 1.
     """
-    width = chains.select(F.max(F.size(path))).first()[0] or len(first)
-    names = first + [f"{rest}{start + i}" for i in range(max(width - len(first), 0))]
-    return chains.select(
-        *[F.try_element_at(path, F.lit(i + 1)).alias(name) for i, name in enumerate(names)], *extra
-    ).distinct()
+    names = first + [f"{rest}{i + 1}" for i in range(max(width - len(first), 0))]
+    cells = [F.try_element_at(path, F.lit(i + 1)).alias(name) for i, name in enumerate(names)]
+    return rows.select(*cells, *extra).distinct()
 
 
-def wide_chain_report(chains_with_raw: DataFrame) -> DataFrame:
+def wide_chain_report(chains: DataFrame, attrs: DataFrame) -> DataFrame:
     """Warehouse chains with raw and tt directories, one column per table."""
-    named = chains_with_raw.withColumnsRenamed({"raw_path": "Raw_Path", "tt_dir": "it"})
+    named = with_raw(chains, attrs).withColumnsRenamed({"raw_path": "Raw_Path", "tt_dir": "it"})
+    first = [P.DWH_COLUMN, P.LAKE_COLUMN]
     return widen(
-        named, F.col("path"), [P.DWH_COLUMN, P.LAKE_COLUMN], P.DEPENDENCY_PREFIX, 1, "Raw_Path", "it"
+        named, F.col("path"), longest(chains), first, P.DEPENDENCY_PREFIX, ["Raw_Path", "it"]
     )
 
 
-def wide_lake_report(chains: DataFrame, rest: str = P.DEPENDENCY_PREFIX) -> DataFrame:
-    """Lake chains, one column per table, with the raw path when it was added."""
-    extra = [c for c in ["raw_path"] if c in chains.columns]
-    return widen(
-        chains, display_path(F.col("path"), F.col("is_cycle")), ["Table_Principale"], rest, 1, *extra
-    )
+def wide_lake_report(
+    chains: DataFrame, attrs: DataFrame | None = None, rest: str = P.DEPENDENCY_PREFIX
+) -> DataFrame:
+    """Lake chains, one column per table; with ``attrs`` also the raw path (first seen wins)."""
+    rows = chains if attrs is None else with_raw(chains, attrs, "first")
+    path = display_path(F.col("path"), F.col("is_cycle"))
+    extra = [] if attrs is None else ["raw_path"]
+    return widen(rows, path, longest(chains), ["Table_Principale"], rest, extra)
 
 
 def chain_steps(chains: DataFrame, table_scripts: DataFrame) -> DataFrame:
