@@ -73,6 +73,99 @@ MAX_DISABLED_RATIO = 0.8
 NO_SUBDIR = "Aucun subdir"
 UNWANTED_PATH_CHARS = r"[\u200b\u00a0\r\n]"
 
+# --- HiveQL tokens -----------------------------------------------------------------------------
+# comment, string, backquoted or plain (dotted) name, number, two-character operator, other sign
+NAME_PART = r"(?:`[^`]++`|(?:[A-Za-z_]|\$\{[^}]*+\})(?:\w|\$\{[^}]*+\})*+)"
+TOKEN = (
+    r"--[^\r\n]*+"
+    r"|'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+    r'|"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    rf"|{NAME_PART}(?:\.(?:{NAME_PART}|\*))*+"
+    r"|\d++(?:\.\d*+)?(?:[eE][+-]?\d++)?[A-Za-z]*+"
+    r"|<=>|<>|!=|>=|<=|==|\|\||&&|::"
+    r"|\S"
+)
+NAME_TOKEN = r"^[A-Za-z_`]"
+LITERAL_TOKEN = r"^['\"0-9]"
+SET_OPERATORS = ["EXCEPT", "INTERSECT", "MINUS", "UNION"]
+# words that open a clause of a query
+CLAUSES = [
+    "FROM",
+    "HAVING",
+    "INSERT",
+    "JOIN",
+    "LATERAL",
+    "LIMIT",
+    "ON",
+    "SELECT",
+    "USING",
+    "WHERE",
+    "WINDOW",
+    "WITH",
+    *SET_OPERATORS,
+]
+# words that do so when BY follows
+CLAUSES_WITH_BY = ["CLUSTER", "DISTRIBUTE", "GROUP", "ORDER", "SORT"]
+RESERVED = [
+    "ALL",
+    "AND",
+    "ANTI",
+    "AS",
+    "ASC",
+    "BETWEEN",
+    "BOTH",
+    "BY",
+    "CASE",
+    "CROSS",
+    "CURRENT",
+    "CURRENT_DATE",
+    "CURRENT_TIMESTAMP",
+    "DESC",
+    "DISTINCT",
+    "DIV",
+    "ELSE",
+    "END",
+    "ESCAPE",
+    "EXISTS",
+    "FALSE",
+    "FOLLOWING",
+    "FULL",
+    "IN",
+    "INNER",
+    "INTERVAL",
+    "INTO",
+    "IS",
+    "LEADING",
+    "LEFT",
+    "LIKE",
+    "NATURAL",
+    "NOT",
+    "NULL",
+    "NULLS",
+    "OR",
+    "OUTER",
+    "OVER",
+    "OVERWRITE",
+    "PARTITION",
+    "PRECEDING",
+    "RANGE",
+    "REGEXP",
+    "RIGHT",
+    "RLIKE",
+    "ROWS",
+    "SEMI",
+    "TABLE",
+    "TABLESAMPLE",
+    "THEN",
+    "TRAILING",
+    "TRUE",
+    "UNBOUNDED",
+    "WHEN",
+    *CLAUSES,
+    *CLAUSES_WITH_BY,
+]
+ARITHMETIC = ["+", "-", "*", "/", "%"]
+
 # --- column lineage ----------------------------------------------------------------------------
 NO_ALIAS = "NO_ALIAS"
 NO_TABLE = "Aucune table"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -116,15 +117,8 @@ def flow_matches(raw_paths: DataFrame, groups: DataFrame) -> DataFrame:
         .groupBy("dir", "flux_name", "rep_raw")
         .agg(F.min_by("record", "rank").alias("record"), F.min("rank").alias("rank"))
     )
-    per_raw_dir.createOrReplaceTempView("first_dirs")
-    two_best = per_raw_dir.sparkSession.sql(
-        """
-        SELECT dir, flux_name, rep_raw, record FROM (
-          SELECT *, row_number() OVER (PARTITION BY dir, flux_name ORDER BY rank) AS n
-          FROM first_dirs)
-        WHERE n <= 2
-        """
-    )
+    by_rank = W.partitionBy("dir", "flux_name").orderBy("rank")
+    two_best = per_raw_dir.withColumn("n", F.row_number().over(by_rank)).where("n <= 2")
     other_dir = raws.join(
         two_best, (raws.dir == two_best.dir) & ~raws.base.eqNullSafe(two_best.rep_raw)
     ).select("raw_path", "flux_name", "record.*")

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.openCostInBytes": str(64 * 1024),
+    # Script text grows manyfold when cut into tokens, so small shuffle partitions are kept apart.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
