@@ -72,3 +72,20 @@ def load(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for table in ("part", "supplier", "orders"):
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(sql)
+
+QUOTED_SCRIPTS = """
+select concat('/PROD/SCRIPTS/quoted_', cast(p_partkey as string), '.hql') as path,
+ concat('SELECT "a"."id" FROM "mon"."ft_', cast(p_partkey as string), '" AS "a" WHERE "a"."k" IN (SELECT "b"."k" from "agg"."t_', cast(p_partkey % 7 as string), '"', chr(10), 'as "b") OR EXISTS (SELECT 1 FROM "mon"."ft_', cast(p_partkey as string), '" AS "c")') as content
+from part
+"""
+
+# scalar sub-query, UNION ALL with CASE, CTE over a sub-query, DISTINCT with a window function
+NESTED_SCRIPTS = """
+select concat('/PROD/SCRIPTS/compute_nested_', cast(k as string), '.hql') as path,
+ concat('INSERT INTO MON.N_', s, ' ', case k % 4
+  when 0 then concat('SELECT a.x, (SELECT MAX(q) FROM d.u_', s, ') m FROM s.t_', s, ' a')
+  when 1 then concat('SELECT CASE WHEN a.f > 1 THEN a.g ELSE -1 END AS c, COUNT(*) n FROM s.t_', s, ' a GROUP BY a.f, a.g UNION ALL SELECT b.h * 2, b.i % 3 FROM s.v_', s, ' b')
+  when 2 then concat('WITH w AS (SELECT p, r FROM m.n_', s, ') SELECT w.p, concat(''x,('', w.r) AS `two words` FROM w JOIN (SELECT z FROM h.i_', s, ') y ON w.p = y.z')
+  else concat('SELECT DISTINCT t.*, SUM(t.v) OVER (PARTITION BY t.k, t.j ORDER BY t.d DESC) total, CAST(t.e AS decimal(10,2)) FROM s.t_', s, ' t, s.o_', s, ' o WHERE t.k = o.k; SELECT 1 FROM last.one') end) as content
+from (select p_partkey as k, cast(p_partkey as string) as s from part) x
+"""
