@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wellspring.session import spread
+
 SCRIPTS = """
 select case when k % 5 = 4 then concat('/PROD/SCRIPTS/create_', cast(k as string), '.hql')
   else concat('/PROD/SCRIPTS/', case when k % 5 = 3 then 'compute_' else 'insert_into_' end, cast(k as string), '.hql') end as path,
@@ -69,8 +71,9 @@ from orders
 
 
 def load(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    for table in ("part", "supplier", "orders"):
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    for table in [t for t in ("part", "supplier", "orders") if f"from {t}" in sql]:
+        rows = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        rows.createOrReplaceTempView(table)
     return spark.sql(sql)
 
 QUOTED_SCRIPTS = """

@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 from wellspring.functions import patterns as P
 
 
+# Every character that counts as blank at the ends of a text.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(col: Column) -> Column:
     """Trim every Unicode blank, not only spaces as ``trim`` does."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
+from wellspring.session import materialize
 
 NAME_PATTERN = re.compile(r"([a-z0-9_]+\.[a-z0-9_]+)", re.IGNORECASE)
 
 
-def _present(name: str) -> Column:
-    return F.col(name).isNotNull() & (X.strip(F.col(name)) != "")
+def _filled(name: str) -> Column:
+    """A cell, NULL when it is blank."""
+    return F.when(X.strip(F.col(name)) != "", F.col(name))
 
 
 def table_columns(report: DataFrame) -> list[str]:
@@ -27,81 +29,59 @@ def table_columns(report: DataFrame) -> list[str]:
     return lead + [c for c in report.columns if c.startswith(P.DEPENDENCY_PREFIX)]
 
 
-def _tables_of_row(report: DataFrame) -> Column:
-    cells = F.array(
-        *[
-            F.when(_present(c), F.struct(F.lit(c).alias("col_name"), F.col(c).alias("table_name")))
-            for c in table_columns(report)
-        ]
-    )
-    return F.filter(cells, lambda cell: cell.isNotNull())
-
-
-def _metadata_of_row(report: DataFrame) -> Column:
-    cells = F.array(
-        *[
-            F.when(_present(c), F.struct(F.lit(c).alias("attribute"), F.col(c).alias("value")))
-            for c in P.SERVER_COLUMNS
-            if c in report.columns
-        ]
-    )
-    return F.filter(cells, lambda cell: cell.isNotNull())
-
-
 def report_long(report: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """``row_id, col_ord, col_name, table_name``: one row per table cell that is filled."""
-    return report.select(row_id, F.posexplode(_tables_of_row(report)).alias("col_ord", "cell")).select(
-        row_id, "col_ord", "cell.col_name", "cell.table_name"
-    )
+    """``row_id, col_name, table_name``: one row per table cell that is filled."""
+    cells = table_columns(report)
+    filled = report.select(row_id, *[_filled(c).alias(c) for c in cells])
+    return filled.unpivot(row_id, cells, "col_name", "table_name").where("table_name IS NOT NULL")
 
 
 def cooccurrence(report: DataFrame) -> DataFrame:
     """Distinct ``src, dep``: each table of a row with every later one, lower case.
 
-    Pairs are built inside the row (their number is bounded by the report's width) and folded by
-    partial aggregation; there is no self-join.
+    Pairs are pairs of columns, stacked without a self-join and folded by partial aggregation.
     """
-    names = F.transform(_tables_of_row(report), lambda cell: F.lower(cell["table_name"]))
-    pairs = F.flatten(
-        F.transform(
-            "names",
-            lambda src, i: F.transform(
-                F.slice("names", i + 2, F.size("names")),
-                lambda dep: F.struct(src.alias("src"), dep.alias("dep")),
-            ),
-        )
+    cells = table_columns(report)
+    lower = report.select(*[F.lower(_filled(c)).alias(c) for c in cells])
+    pairs = [(a, b) for n, a in enumerate(cells) for b in cells[n + 1 :]]
+    stacked = F.stack(F.lit(len(pairs)), *[F.col(c) for pair in pairs for c in pair])
+    return (
+        lower.select(stacked.alias("src", "dep"))
+        .where("src IS NOT NULL AND dep IS NOT NULL")
+        .distinct()
     )
-    return report.select(names.alias("names")).select(F.inline(pairs)).distinct()
 
 
 def original_names(report: DataFrame, row_id: str = "row_id") -> DataFrame:
     """``table, name``: the casing seen last for every lower-case name."""
+    cells = table_columns(report)
+    rank = F.element_at(F.create_map(*[F.lit(x) for n, c in enumerate(cells) for x in (c, n)]), F.col("col_name"))
     return (
         report_long(report, row_id)
         .groupBy(F.lower("table_name").alias("table"))
-        .agg(F.max_by("table_name", F.struct(row_id, "col_ord")).alias("name"))
+        .agg(F.max_by("table_name", F.struct(row_id, rank)).alias("name"))
     )
 
 
 def origins(report: DataFrame) -> DataFrame:
     """Distinct ``table, origin``: the report columns a table occurs in."""
-    return (
-        report.select(F.inline(_tables_of_row(report)))
-        .select(F.lower("table_name").alias("table"), F.col("col_name").alias("origin"))
-        .distinct()
-    )
+    cells = table_columns(report)
+    lower = report.select(*[F.lower(_filled(c)).alias(c) for c in cells])
+    return lower.unpivot([], cells, "origin", "table").where("table IS NOT NULL").select(
+        "table", "origin"
+    ).distinct()
 
 
 def server_metadata(report: DataFrame) -> DataFrame:
     """Distinct ``table, attribute, value``: server metadata of the rows a table occurs in."""
-    return (
-        report.select(
-            F.explode(F.array_distinct(F.transform(_tables_of_row(report), lambda c: F.lower(c["table_name"])))).alias("table"),
-            _metadata_of_row(report).alias("meta"),
-        )
-        .select("table", F.inline("meta"))
-        .distinct()
+    cells = table_columns(report)
+    meta = [c for c in P.SERVER_COLUMNS if c in report.columns]
+    filled = report.select(
+        *[F.lower(_filled(c)).alias(c) for c in cells], *[_filled(c).alias(c) for c in meta]
     )
+    tables = filled.unpivot(meta, cells, "origin", "table").where("table IS NOT NULL")
+    facts = tables.unpivot("table", meta, "attribute", "value").where("value IS NOT NULL")
+    return facts.select("table", "attribute", "value").distinct()
 
 
 def priorities(report: DataFrame) -> DataFrame:
@@ -137,24 +117,27 @@ def table_nodes(report: DataFrame, row_id: str = "row_id") -> DataFrame:
 
 def dependencies(report: DataFrame, row_id: str = "row_id", table: str | None = None) -> DataFrame:
     """``table, dep, dep_name, priority, tag``: direct dependencies of all tables, or of one."""
-    edges = cooccurrence(report).select(F.col("src").alias("table"), "dep")
+    edges = cooccurrence(report)
     if table is not None:
-        edges = edges.where(F.col("table") == table.lower())
-    nodes = table_nodes(report, row_id).select(
-        F.col("table").alias("dep"), F.col("name").alias("dep_name"), "priority", "tag"
-    )
-    return edges.join(nodes, "dep").select("table", "dep", "dep_name", "priority", "tag")
+        edges = edges.where(F.col("src") == table.lower())
+    return _named(edges, table_nodes(report, row_id), "src", "dep")
 
 
 def users(report: DataFrame, row_id: str = "row_id", table: str | None = None) -> DataFrame:
     """``table, user, user_name, priority, tag``: tables that use a table."""
-    edges = cooccurrence(report).select(F.col("dep").alias("table"), F.col("src").alias("user"))
+    edges = cooccurrence(report)
     if table is not None:
-        edges = edges.where(F.col("table") == table.lower())
-    nodes = table_nodes(report, row_id).select(
-        F.col("table").alias("user"), F.col("name").alias("user_name"), "priority", "tag"
+        edges = edges.where(F.col("dep") == table.lower())
+    return _named(edges.withColumnRenamed("src", "user"), table_nodes(report, row_id), "dep", "user")
+
+
+def _named(edges: DataFrame, nodes: DataFrame, of: str, other: str) -> DataFrame:
+    """Edges as ``table`` and its neighbour with display name and logical order."""
+    named = nodes.select(
+        F.col("table").alias(other), F.col("name").alias(f"{other}_name"), "priority", "tag"
     )
-    return edges.join(nodes, "user").select("table", "user", "user_name", "priority", "tag")
+    sides = edges.select(F.col(of).alias("table"), other)
+    return sides.join(named, other).select("table", other, f"{other}_name", "priority", "tag")
 
 
 def in_logical_order(rows: DataFrame, name: str) -> DataFrame:
@@ -180,23 +163,34 @@ def degrees(report: DataFrame) -> DataFrame:
 
 
 def diagnostic(report: DataFrame, row_id: str = "row_id", table: str | None = None) -> DataFrame:
-    """``table, section, item, tag``: origins, dependencies, users and metadata as one table."""
-    blank = F.lit("")
-    parts = [
-        origins(report).select("table", F.lit("origin").alias("section"), F.col("origin").alias("item"), blank.alias("tag")),
-        dependencies(report, row_id).select("table", F.lit("dependency"), "dep_name", "tag"),
-        users(report, row_id).select("table", F.lit("user"), "user_name", "tag"),
-        server_metadata(report).select("table", F.col("attribute"), "value", blank),
-    ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
+    """``table, section, item, tag``: origins, dependencies, users and metadata as one table.
+
+    Edges and nodes serve two sections each and are written once.
+    """
+    edges = materialize(cooccurrence(report))
+    nodes = materialize(table_nodes(report, row_id))
+    blank = F.lit("").alias("tag")
+
+    def section(rows: DataFrame, name: str, item: str, tag: Column | str) -> DataFrame:
+        return rows.select("table", F.lit(name).alias("section"), F.col(item).alias("item"), tag)
+
+    used = edges.withColumnRenamed("src", "user")
+    rows = (
+        section(origins(report), "origin", "origin", blank)
+        .unionByName(section(_named(edges, nodes, "src", "dep"), "dependency", "dep_name", "tag"))
+        .unionByName(section(_named(used, nodes, "dep", "user"), "user", "user_name", "tag"))
+        .unionByName(
+            server_metadata(report).select(
+                "table", F.col("attribute").alias("section"), F.col("value").alias("item"), blank
+            )
+        )
+    )
     return rows if table is None else rows.where(F.col("table") == table.lower())
 
 
 def dwh_tables(report: DataFrame) -> DataFrame:
     """Distinct warehouse tables of the report."""
-    return report.where(_present(P.DWH_COLUMN)).select(X.strip(F.col(P.DWH_COLUMN)).alias(P.DWH_COLUMN)).distinct()
+    return report.select(X.blank_to_null(X.strip(F.col(P.DWH_COLUMN))).alias(P.DWH_COLUMN)).where(F.col(P.DWH_COLUMN).isNotNull()).distinct()
 
 
 def external_tables(report: DataFrame, row_id: str = "row_id") -> DataFrame:

@@ -134,15 +134,15 @@ def var(name: str) -> str:
 
 GROUPS = cte(
     "groups",
-    f"""SELECT flow_id, json ->> '$.flowContents.processGroups[0].groupIdentifier' AS "groupIdentifier",
+    f"""SELECT *, CASE WHEN name = 'List Files' THEN nb_disabled ELSE 0 END AS nb_list_disabled FROM (SELECT flow_id, json ->> '$.flowContents.processGroups[0].groupIdentifier' AS "groupIdentifier",
       (SELECT count(*) FROM json_each(json, '$.flowContents.processGroups[0].processors')) AS nb_processors,
       (SELECT count(*) FROM json_each(json, '$.flowContents.processGroups[0].processors') p WHERE p.value ->> 'scheduledState' = 'DISABLED') AS nb_disabled,
       (SELECT count(*) FROM json_each(json, '$.flowContents.processGroups[0].processors') p WHERE p.value ->> 'scheduledState' = 'ENABLED') AS nb_enabled,
       {var('flux.sftp.remote-path')} AS staging, {var('flux.hdfs.filedir')} AS rep_raw, {var('flux.hdfs.subdir-names')} AS subdir,
       {var('flux.sftp.port')} AS port, {var('flux.name')} AS flux_name, {var('flux.sftp.hostname')} AS ip_adress,
       {var('flux.sftp.username')} AS username, json ->> '$.flowContents.processGroups[0].processors[0].name' AS name,
-      CASE WHEN name = 'List Files' THEN nb_disabled ELSE 0 END AS nb_list_disabled, {var('flux.filenames-regex')} AS regex
-    FROM flows""",
+      {var('flux.filenames-regex')} AS regex
+    FROM flows)""",
 )
 MATCHES = [
     cte(
@@ -254,7 +254,7 @@ DWH_TRACKING = [
     ),
     cte(
         "tracking",
-        """SELECT DISTINCT dwh_table, '' AS tables, '' AS computed_table, dwh_field, '' AS "column", alias, NULL AS step, '' AS path, '' AS arithmetic_ops, '' AS formula_sql FROM hits
+        """SELECT DISTINCT dwh_table, '' AS tables, '' AS computed_table, dwh_field, '' AS "column", alias, CAST(NULL AS BIGINT) AS step, '' AS path, '' AS arithmetic_ops, '' AS formula_sql FROM hits
            UNION ALL SELECT DISTINCT dwh_table, tables, target, dwh_field, "column", alias, position, path, arithmetic_ops, formula_sql FROM hits
            WHERE contains(lower(formula_sql), "column") AND lower(dwh_field) IN (lower(alias), "column")""",
     ),
@@ -325,7 +325,7 @@ ORACLES = {
     "s07_report_csv": with_(*REPORT[:2], select=f"SELECT {', '.join(TEXT_COLUMNS)} FROM report"),
     "s06_field_dictionary": with_(CATALOG, FIELDS, select=f"SELECT table_name, {ORDERED.format('fields')} AS fields FROM fields"),
     "s05_catalog_snapshot": with_(CATALOG, select="SELECT * FROM catalog_rows"),
-    "k01_lineage_sink": with_(SCRIPTS, CLEAN, IO, select="SELECT DISTINCT target, array_to_string(sources, ', ') AS sources FROM io"),
+    "k01_lineage_sink": with_(SCRIPTS, CLEAN, IO, select="SELECT DISTINCT target, nullif(array_to_string(sources, ', '), '') AS sources FROM io"),
     "k04_file_paths": with_(SCRIPTS, select="SELECT path FROM scripts"),
     # scripts
     "x01_clean_script": with_(SCRIPTS, CLEAN, select="SELECT path, c AS content FROM clean"),
@@ -457,7 +457,7 @@ ORACLES = {
     "l02_nested_projections": NESTED_ITEMS,
     "l03_last_wins": with_(
         cte("items", NESTED_ITEMS),
-        select="""SELECT path, alias, formula_sql FROM items WHERE NOT (alias = 'p' AND formula_sql = 'p')
+        select="""SELECT path, alias, formula_sql FROM items WHERE NOT (alias = 'p' AND formula_sql = 'w.p')
           AND NOT (alias = 'NO_ALIAS' AND (formula_sql LIKE 'b.h%' OR formula_sql LIKE 'CAST%'))""",
     ),
     "l09_script_report": with_(
