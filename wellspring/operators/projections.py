@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
 from wellspring.operators import tokens as T
+from wellspring.session import materialize
 
 
 def select_items(enclosing: DataFrame) -> DataFrame:
@@ -26,22 +27,23 @@ def select_items(enclosing: DataFrame) -> DataFrame:
         enclosing.where(F.col("query") >= 0)
         .groupBy("doc", "stmt", "level", "query", "item")
         .agg(
-            F.array_sort(F.collect_list(F.when(F.col("item").isNotNull(), word))).alias("words"),
+            F.sort_array(F.collect_list(F.when(F.col("item").isNotNull(), word))).alias("words"),
             F.collect_set(F.when(F.col("is_table"), T.table_name())).alias("tables"),
             F.collect_set(outer_name).alias("outer"),
         )
     )
     queries = pieces.groupBy("doc", "stmt", "level", "query").agg(
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.when(F.col("item").isNotNull(), F.struct("item", "words")))
         ).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("tables")))).alias("tables"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("tables")))).alias("tables"),
         F.flatten(F.collect_list("outer")).alias("outer"),
     )
     outer = F.array_distinct(F.flatten(F.collect_list("outer").over(W.partitionBy("doc"))))
     items = queries.withColumn("outer", outer).select(
         "doc",
         "stmt",
+        "level",
         F.col("query").alias("select_pos"),
         F.posexplode("items").alias("item_no", "item"),
         "tables",
@@ -67,6 +69,7 @@ def select_items(enclosing: DataFrame) -> DataFrame:
         .select(
             "doc",
             "stmt",
+            "level",
             "select_pos",
             "item_no",
             F.coalesce(alias, F.lit(P.NO_ALIAS)).alias("alias"),
@@ -79,7 +82,7 @@ def select_items(enclosing: DataFrame) -> DataFrame:
 
     def labels(field: str):
         found = F.transform("words", lambda w: w[field])
-        return F.array_sort(F.array_distinct(F.filter(found, lambda v: v.isNotNull())))
+        return F.sort_array(F.array_distinct(F.filter(found, lambda v: v.isNotNull())))
 
     def bare(tok):
         return F.size(F.split(tok, r"\.")) == 1
@@ -98,6 +101,7 @@ def select_items(enclosing: DataFrame) -> DataFrame:
     return items.select(
         "doc",
         "stmt",
+        "level",
         "select_pos",
         "item_no",
         "alias",
@@ -118,23 +122,29 @@ def _settle(items: DataFrame) -> DataFrame:
     return items.withColumn("columns_used", columns).drop("used")
 
 
-def _with_ddl(items: DataFrame, outer_tables: DataFrame, ddl: DataFrame) -> DataFrame:
+def _with_ddl(items: DataFrame, ddl: DataFrame) -> DataFrame:
     """Marks bare names as known that the DDL of a table read by the script declares.
 
-    Only names still unknown take part; they are distinct per script before they are shuffled.
+    The items are written once, as the names still unknown are picked from them before the marks
+    are put on them. Only those names, distinct per script, and the tables of the outermost
+    queries take part in the joins.
     """
+    items = materialize(items)
     unknown = (
         items.select("doc", F.explode("used").alias("u"))
         .where(F.col("u.bare") & ~F.col("u.known"))
         .select("doc", F.upper("u.name").alias("name"))
         .distinct()
     )
+    sources = (
+        items.where(F.col("level") == 0)
+        .select("doc", F.explode(F.transform("tables", F.upper)).alias("table"))
+        .distinct()
+    )
     fields = ddl.select(F.upper("table_name").alias("table"), F.explode("fields").alias("name"))
     declared = (
-        outer_tables.join(fields.distinct(), "table")
-        .select("doc", "name")
-        .distinct()
-        .join(unknown, ["doc", "name"])
+        unknown.join(sources, "doc")
+        .join(fields.distinct(), ["table", "name"])
         .groupBy("doc")
         .agg(F.collect_set("name").alias("declared"))
     )
@@ -154,11 +164,9 @@ def projections(scripts: DataFrame, ddl: DataFrame | None = None) -> DataFrame:
     ``path, stmt_no, select_pos, item_no, alias, formula_sql, columns_used, aggregations,
     arithmetic_ops, tables``. ``ddl`` (``table_name, fields``) helps to recognise bare columns.
     """
-    deep = T.enclosing(T.clauses(T.tokens(scripts)))
-    items = select_items(deep)
+    items = select_items(T.enclosing(T.clauses(T.tokens(scripts))))
     if ddl is not None:
-        sources = _source_fields(deep).select("doc", F.upper("table").alias("table")).distinct()
-        items = _with_ddl(items, sources, ddl)
+        items = _with_ddl(items, ddl)
     paths = scripts.select("path", T.doc_key(F.col("content")).alias("doc"))
     return paths.join(_settle(items), "doc").select(
         "path",
@@ -234,8 +242,8 @@ def _source_fields(enclosing: DataFrame) -> DataFrame:
         F.struct(T.qualifier().alias("qualifier"), T.column_name().alias("field")),
     )
     queries = top.groupBy("doc", "stmt", "query").agg(
-        F.array_sort(F.collect_list(direct)).alias("direct"),
-        F.array_sort(F.collect_list(renamed)).alias("renamed"),
+        F.sort_array(F.collect_list(direct)).alias("direct"),
+        F.sort_array(F.collect_list(renamed)).alias("renamed"),
         F.collect_set(inner).alias("inner"),
         F.collect_set(cte).alias("ctes"),
         F.collect_set(used).alias("used"),

@@ -83,7 +83,7 @@ def query(name: str):
 
 
 def listed(col: str | Column) -> Column:
-    return F.array_join(F.array_sort(col), ",")
+    return F.array_join(F.sort_array(col), ",")
 
 
 def ordered(col: str | Column) -> Column:
