@@ -13,7 +13,7 @@ from wellspring.session import configure  # noqa: E402
 def spark():
     builder = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wellspring.functions import patterns as P
@@ -23,6 +24,40 @@ def parse_flows(flows: DataFrame, json: str = "json") -> DataFrame:
     return parsed.where(F.col("doc").isNotNull())
 
 
+JSON_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},:]|[^\s\[\]{},:"]++'
+
+
+def pretty_lines(flows: DataFrame, json: str = "json") -> DataFrame:
+    """``flow_id, line_no, line``: well-formed exports indented by four blanks, keys in order.
+
+    A line starts after an opening bracket or a comma and before a closing bracket; empty
+    containers stay on one line.
+    """
+    text = F.col(json)
+    tokens = flows.where(F.try_parse_json(text).isNotNull()).select(
+        "flow_id", F.posexplode(X.all_matches(text, JSON_TOKEN, 0)).alias("pos", "tok")
+    )
+    order = W.partitionBy("flow_id").orderBy("pos")
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    tok, prev = F.col("tok"), F.lag("tok", 1, "").over(order)
+    opens, closes = tok.isin("{", "["), tok.isin("}", "]")
+    after_open = F.col("prev").isin("{", "[")
+    starts = (F.col("prev") == ",") | (after_open & ~closes) | (closes & ~after_open)
+    depth = F.sum(opens.cast("int") - closes.cast("int")).over(so_far) - opens.cast("int")
+    rows = tokens.withColumn("prev", prev).select(
+        "flow_id",
+        "pos",
+        F.when(tok == ":", ": ").otherwise(tok).alias("tok"),
+        depth.alias("depth"),
+        F.sum(starts.cast("int")).over(so_far).alias("line_no"),
+    )
+    first_depth = F.min_by("depth", "pos").cast("int")
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda p: p["tok"])
+    return rows.groupBy("flow_id", "line_no").agg(
+        F.concat(F.repeat(F.lit("    "), first_depth), F.array_join(pieces, "")).alias("line")
+    )
+
+
 def _nesting(json: Column) -> Column:
     """Greatest bracket depth of a JSON text, strings left out."""
     brackets = F.regexp_replace(

@@ -325,8 +325,13 @@ ORACLES = {
     "s07_report_csv": with_(*REPORT[:2], select=f"SELECT {', '.join(TEXT_COLUMNS)} FROM report"),
     "s06_field_dictionary": with_(CATALOG, FIELDS, select=f"SELECT table_name, {ORDERED.format('fields')} AS fields FROM fields"),
     "s05_catalog_snapshot": with_(CATALOG, select="SELECT * FROM catalog_rows"),
-    "k01_lineage_sink": with_(SCRIPTS, CLEAN, IO, select="SELECT DISTINCT target, nullif(array_to_string(sources, ', '), '') AS sources FROM io"),
+    "k01_lineage_sink": with_(SCRIPTS, CLEAN, IO, select="SELECT DISTINCT target, nullif(array_to_string(list_sort(sources), ', '), '') AS sources FROM io"),
     "k04_file_paths": with_(SCRIPTS, select="SELECT path FROM scripts"),
+    "k05_pretty_flows": with_(
+        FLOWS,
+        cte("pretty", "SELECT flow_id, str_split(json_pretty(json), chr(10)) AS lines FROM flows"),
+        select="SELECT flow_id, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM pretty",
+    ),
     # scripts
     "x01_clean_script": with_(SCRIPTS, CLEAN, select="SELECT path, c AS content FROM clean"),
     "x03_source_tables": with_(SCRIPTS, select=f"SELECT path, {SORTED.format(SOURCES.format(c='content'))} AS tables FROM scripts"),

@@ -120,7 +120,7 @@ def _(i: Inputs) -> DataFrame:
 @query("k01_lineage_sink")
 def _(i: Inputs) -> DataFrame:
     path = work_dir(i.spark)
-    sinks.write_lineage(i.io.select("target", "sources"), path, fmt="csv")
+    sinks.write_lineage(i.io.select("target", F.sort_array("sources").alias("sources")), path, fmt="csv")
     return i.spark.read.csv(path, header=True)
 
 
@@ -131,13 +131,9 @@ def _(i: Inputs) -> DataFrame:
     return i.spark.read.text(path).withColumnRenamed("value", "path")
 
 
-@query("s03_k05_pretty_flows")
+@query("k05_pretty_flows")
 def _(i: Inputs) -> DataFrame:
-    path = work_dir(i.spark)
-    sinks.write_pretty_json(flows.parse_flows(i.flows), path)
-    return i.spark.read.text(path).groupBy(F.trim("value").alias("line")).agg(
-        F.count("*").alias("n")
-    )
+    return flows.pretty_lines(i.flows)
 
 
 # --- scripts -----------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -41,6 +42,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size < SMALL_INPUT * cores else df
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="wellspring-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the cluster's shared scratch space.
 
@@ -50,8 +56,7 @@ def work_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="wellspring-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/wellspring-{uuid.uuid4().hex}"
 
 

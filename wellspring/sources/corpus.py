@@ -27,7 +27,7 @@ def read_files(
         if glob:
             reader = reader.option("pathGlobFilter", glob)
         files = reader.load(root)
-        content = F.decode("content", F.lit(charset))
+        content = F.decode("content", charset)
     return files.select(_local_path("_metadata.file_path").alias("path"), content.alias("content"))
 
 

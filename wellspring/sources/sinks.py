@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wellspring.operators.flows import pretty_lines
+
 
 def write_lineage(rows: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """Distinct rows as parquet or CSV; list columns become comma-separated text in CSV."""
@@ -32,6 +34,6 @@ def write_paths(files: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 
 def write_pretty_json(flows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Flow exports (``doc`` VARIANT) as indented JSON text."""
-    pretty = F.to_json("doc", {"pretty": "true"})
-    flows.select(pretty.alias("value")).write.mode(mode).text(path)
+    """Flow exports as indented JSON text; the lines of an export stay together, in order."""
+    lines = pretty_lines(flows).repartition("flow_id").sortWithinPartitions("flow_id", "line_no")
+    lines.select("line").write.mode(mode).text(path)
