@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
 from wellspring.operators.deps import raw_of_external
+from wellspring.operators.joins import left_join
 from wellspring.session import materialize, work_dir
 
 OPEN, LEAF, CYCLE = "open", "leaf", "cycle"
@@ -207,6 +208,6 @@ def chain_steps(chains: DataFrame, table_scripts: DataFrame) -> DataFrame:
         "chain_id", "dwh_table", "lake_table", F.posexplode("path").alias("position", "table")
     ).where(F.col("position") > 0)
     scripts = table_scripts.select("table", F.col("path").alias("script_path"))
-    return steps.join(scripts, "table", "left").select(
+    return left_join(steps, scripts, "table").select(
         "chain_id", "dwh_table", "lake_table", "position", "table", "script_path"
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wellspring.operators.joins import left_join
+
 ATTRIBUTES = ["raw_directory", "cdr_name", "tt_directory", "staging_dwh_table"]
 
 
@@ -117,12 +119,17 @@ def table_scripts(dwh_lake: DataFrame, targets: DataFrame) -> DataFrame:
     """
     seeds = dwh_lake.select(F.upper(F.try_element_at("table_data_hive", F.lit(1))).alias("table"))
     loads = targets.select(F.col("target").alias("table"), "path").distinct()
-    return seeds.where(F.col("table").isNotNull()).distinct().join(loads, "table", "full")
+    unloaded = (
+        seeds.where(F.col("table").isNotNull())
+        .distinct()
+        .join(loads.select("table").distinct(), "table", "left_anti")
+    )
+    return loads.unionByName(unloaded, allowMissingColumns=True)
 
 
 def scripts_of_tables(tables: DataFrame, table_scripts: DataFrame) -> DataFrame:
     """``table, path`` for the asked tables; unknown ones keep a NULL path."""
-    return tables.select("table").distinct().join(table_scripts, "table", "left")
+    return left_join(tables.select("table").distinct(), table_scripts, "table")
 
 
 def verified_deps(table_scripts: DataFrame, script_io: DataFrame) -> DataFrame:
@@ -135,7 +142,7 @@ def verified_deps(table_scripts: DataFrame, script_io: DataFrame) -> DataFrame:
         "path", "target", F.explode("sources").alias("dep")
     )
     found = listed.join(io, ["path", "target"]).select("target", "dep").distinct()
-    return listed.select("target").distinct().join(found, "target", "left")
+    return left_join(listed.select("target").distinct(), found, "target")
 
 
 def lake_table_files(edges: DataFrame, targets: DataFrame, table_scripts: DataFrame) -> DataFrame:
@@ -145,6 +152,5 @@ def lake_table_files(edges: DataFrame, targets: DataFrame, table_scripts: DataFr
     """
     own = targets.select("target", F.col("target").alias("table"))
     deps = edges.select("target", F.col("dep").alias("table"))
-    return own.unionByName(deps).distinct().join(table_scripts, "table", "left").select(
-        "target", "table", "path"
-    )
+    wanted = own.unionByName(deps).distinct()
+    return left_join(wanted, table_scripts, "table").select("target", "table", "path")

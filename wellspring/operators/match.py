@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
 from wellspring.operators.chains import longest, widen
+from wellspring.operators.joins import left_join
 
 MATCH = [
     "server",
@@ -155,9 +156,8 @@ def external_servers(attrs: DataFrame, matches: DataFrame) -> DataFrame:
 
 def chain_servers(chains: DataFrame, attrs: DataFrame, matches: DataFrame) -> DataFrame:
     """Chains with the servers and flows that feed them; unmatched chains keep NULLs."""
-    external = external_servers(attrs, matches)
-    end = F.element_at("path", -1)
-    return chains.join(external, end == F.col("cdr_name"), "left").drop("cdr_name")
+    ends = chains.withColumn("cdr_name", F.element_at("path", -1))
+    return left_join(ends, external_servers(attrs, matches), "cdr_name").drop("cdr_name")
 
 
 def server_report(chains: DataFrame, attrs: DataFrame, matches: DataFrame) -> DataFrame:
@@ -177,5 +177,5 @@ def servers_outside_chain(chains_with_raw: DataFrame, matches: DataFrame) -> Dat
     servers = _servers(matches).select("raw_path", "server").where(F.col("server") != "")
     raw = F.when(X.is_absolute(F.col("raw_path")), X.first_token(F.col("raw_path")))
     chains = chains_with_raw.select("chain_id", "path", raw.alias("raw_path"))
-    outside = (chains.raw_path == servers.raw_path) & ~F.array_contains("path", F.col("server"))
-    return chains.join(servers, outside, "left").select("chain_id", "server")
+    found = chains.join(servers, "raw_path").where(~F.array_contains("path", F.col("server")))
+    return left_join(chains.select("chain_id"), found.select("chain_id", "server"), "chain_id")

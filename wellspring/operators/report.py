@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
+from wellspring.operators.joins import left_join
 from wellspring.session import materialize
 
 NAME_PATTERN = re.compile(r"([a-z0-9_]+\.[a-z0-9_]+)", re.IGNORECASE)
@@ -204,8 +205,8 @@ def external_tables(report: DataFrame, row_id: str = "row_id") -> DataFrame:
         .join(external, F.col("dep") == F.col("table"))
         .select("src", F.col("name").alias("CDR"))
     )
-    tables = dwh_tables(report)
-    return tables.join(hits, F.lower(P.DWH_COLUMN) == F.col("src"), "left").select(
+    tables = dwh_tables(report).withColumn("src", F.lower(P.DWH_COLUMN))
+    return left_join(tables, hits, "src").select(
         P.DWH_COLUMN, F.coalesce("CDR", F.lit("")).alias("CDR")
     )
 
