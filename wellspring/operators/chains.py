@@ -171,13 +171,15 @@ def longest(chains: DataFrame) -> int:
 def widen(
     rows: DataFrame, path: Column, width: int, first: list[str], rest: str, extra: list[str]
 ) -> DataFrame:
-    """One column per path position plus ``extra`` columns; rows are distinct.
+    """One column per path position plus ``extra`` columns.
 
-    ``first`` names the leading positions, the others are ``rest`` numbered from 1.
+    ``first`` names the leading positions, the others are ``rest`` numbered from 1. Enumerated
+    paths are distinct, and so are the rows as long as ``extra`` adds no duplicates: the widest
+    table of all is not shuffled just to find none.
     """
     names = first + [f"{rest}{i + 1}" for i in range(max(width - len(first), 0))]
     cells = [F.try_element_at(path, F.lit(i + 1)).alias(name) for i, name in enumerate(names)]
-    return rows.select(*cells, *extra).distinct()
+    return rows.select(*cells, *extra)
 
 
 def wide_chain_report(chains: DataFrame, attrs: DataFrame) -> DataFrame:

@@ -161,8 +161,14 @@ def chain_servers(chains: DataFrame, attrs: DataFrame, matches: DataFrame) -> Da
 
 
 def server_report(chains: DataFrame, attrs: DataFrame, matches: DataFrame) -> DataFrame:
-    """The wide dependency report: tables of each chain, then server columns; distinct rows."""
-    rows = chain_servers(chains, attrs, matches).withColumnsRenamed(REPORT_NAMES)
+    """The wide dependency report: tables of each chain, then server columns; distinct rows.
+
+    Server rows are made distinct per external table, before they meet the (distinct) chains.
+    """
+    external = external_servers(attrs, matches).withColumnsRenamed(REPORT_NAMES)
+    external = external.select("cdr_name", *P.SERVER_COLUMNS).distinct()
+    ends = chains.withColumn("cdr_name", F.element_at("path", -1))
+    rows = left_join(ends, external, "cdr_name")
     first = [P.DWH_COLUMN, P.LAKE_COLUMN]
     return widen(
         rows, F.col("path"), longest(chains), first, P.DEPENDENCY_PREFIX, P.SERVER_COLUMNS

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -19,7 +20,14 @@ class TableLineage:
     attrs: DataFrame
     pairs: DataFrame
 
+    @cached_property
+    def _all_warehouse_chains(self) -> DataFrame:
+        return chains.warehouse_chains(self.pairs, self.edges)
+
     def warehouse_chains(self, tables: DataFrame | list[str] | None = None) -> DataFrame:
+        """Chains of ``tables``, or of all; the latter are enumerated once and then re-read."""
+        if tables is None:
+            return self._all_warehouse_chains
         return chains.warehouse_chains(self.pairs, self.edges, tables)
 
     def lake_chains(self, tables: DataFrame | list[str] | None = None) -> DataFrame:
