@@ -7,6 +7,8 @@ exports, catalog and report. Every ``part`` row becomes a table in a five-layer
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.session import spread
@@ -70,12 +72,6 @@ from orders
 """
 
 
-def load(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    for table in [t for t in ("part", "supplier", "orders") if f"from {t}" in sql]:
-        rows = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
-        rows.createOrReplaceTempView(table)
-    return spark.sql(sql)
-
 QUOTED_SCRIPTS = """
 select concat('/PROD/SCRIPTS/quoted_', cast(p_partkey as string), '.hql') as path,
  concat('SELECT "a"."id" FROM "mon"."ft_', cast(p_partkey as string), '" AS "a" WHERE "a"."k" IN (SELECT "b"."k" from "agg"."t_', cast(p_partkey % 7 as string), '"', chr(10), 'as "b") OR EXISTS (SELECT 1 FROM "mon"."ft_', cast(p_partkey as string), '" AS "c")') as content
@@ -92,3 +88,12 @@ select concat('/PROD/SCRIPTS/compute_nested_', cast(k as string), '.hql') as pat
   else concat('SELECT DISTINCT t.*, SUM(t.v) OVER (PARTITION BY t.k, t.j ORDER BY t.d DESC) total, CAST(t.e AS decimal(10,2)) FROM s.t_', s, ' t, s.o_', s, ' o WHERE t.k = o.k; SELECT 1 FROM last.one') end) as content
 from (select p_partkey as k, cast(p_partkey as string) as s from part) x
 """
+
+
+def load(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """A corpus as a DataFrame; the tables are read under names of their own."""
+    source = re.compile(r"\bfrom (part|supplier|orders)\b")
+    for table in sorted(set(source.findall(sql))):
+        rows = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        rows.createOrReplaceTempView(f"corpus_{table}")
+    return spark.sql(source.sub(r"from corpus_\1", sql))

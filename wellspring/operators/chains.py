@@ -13,6 +13,8 @@ from wellspring.operators.joins import left_join
 from wellspring.session import materialize, work_dir
 
 OPEN, LEAF, CYCLE = "open", "leaf", "cycle"
+# A depth joined with broadcast edges is not shuffled; files of limited length keep it spread out.
+ROWS_PER_FILE = 250_000
 
 
 def _flagged_edges(edges: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def _walk(
     base = work_dir(spark)
 
     def write(level: DataFrame, depth: int) -> StructType:
-        level.write.parquet(f"{base}/depth={depth}")
+        level.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{base}/depth={depth}")
         return level.schema
 
     sources = edges.select(F.col("target").alias("tip")).distinct()
