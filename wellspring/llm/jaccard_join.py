@@ -1,0 +1,496 @@
+"""Exact set-similarity join of documents by word shingles, and its connected groups.
+
+Method: sets of a size band are cut into ``m`` segments by hashing their tokens, the same cut for
+all sets. Sets that are similar enough differ in at most ``H`` tokens, and ``m = H + 1``; so for any
+allocation of a budget to segments with ``sum(v + 1) = H + 1`` there is a segment whose two sides
+differ in at most ``v`` tokens. A segment with ``v = 0`` is looked up as it is, with ``v = 1`` also
+without one of its tokens (on either side), with ``v = -1`` not at all. Every set starts with 0
+everywhere; then its most frequent segments go to -1, each paid for by a designated segment that goes
+to 1, as long as that makes its lookups fewer. A set is indexed in its own band and looks up also
+in bands of smaller sets that it can be similar to.
+
+Large groups are never expanded into pairs. In each bucket of equal signatures all members are
+verified against one hub, the member that shares most signatures with others, so a group of near
+copies becomes a star. Only members that are not connected to their hub's group after that are
+paired with the other members of the bucket, unless the triangle inequality of Jaccard distances
+rules the pair out. Every surviving pair is verified on the words themselves.
+
+Equal sets are one class (128-bit fingerprints); only classes are joined.
+
+Defined results: documents without words (null or empty text) have 0 shingles and link with nothing;
+a document of fewer words than a shingle has one shingle; a null ``doc_id`` links like any other and
+is never the smallest id of a group that has another; repeated rows are in one class; an empty table
+gives an empty table; other columns are ignored (kept by ``keep_one``).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from wellspring.llm.components import connected
+from wellspring.session import materialize
+
+#: Ratio of the sizes at the two ends of a band.
+BAND_RATIO = 1.4
+#: One segment in so many is designated for one-deletion neighbourhoods.
+DESIGNATED = 32
+#: Bytes of text that are hashed at once.
+CHUNK_BYTES = 1 << 21
+
+_U = np.uint64
+_FACTOR = _U(0x9E3779B97F4A7C15)
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A 64-bit finaliser; different salts give independent values."""
+    x = x + _U((salt * 0xD1342543DE82EF95 + 0x2545F4914F6CDD1D) % (1 << 64))
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if "up" not in _POWERS or len(_POWERS["up"]) < n:
+        size = max(n, CHUNK_BYTES) + 1
+        up = np.full(size, _FACTOR)
+        down = np.full(size, _U(pow(int(_FACTOR), -1, 1 << 64)))
+        up[0] = down[0] = 1
+        _POWERS["up"], _POWERS["down"] = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
+    return _POWERS["up"], _POWERS["down"]
+
+
+_MARK = np.random.default_rng(11).integers(0, 2**64, 256, np.uint64)
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(doc, token)``: distinct shingle hashes of each text, sorted by text."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    data = _LOWER[np.frombuffer(b"".join(texts), np.uint8)]
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, _U)
+    ends = np.cumsum(lengths)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[ends - lengths] = True
+    edge[-1] = True
+    word = ~_BLANK[data]
+    begins = np.flatnonzero(word & (edge[:-1] | ~np.append(False, word[:-1])))
+    stops = np.flatnonzero(word & (edge[1:] | ~np.append(word[1:], False))) + 1
+    if not len(begins):
+        return np.zeros(0, np.int64), np.zeros(0, _U)
+    up, down = _powers(len(data))
+    sums = np.append(_U(0), np.cumsum(_MARK[data] * up[: len(data)], dtype=_U))
+    words = mix((sums[stops] - sums[begins]) * down[begins])
+    doc = np.searchsorted(ends, begins, side="right")
+    n_words = np.bincount(doc, minlength=len(texts))
+    first = np.cumsum(n_words) - n_words
+    # a shingle starts at every word that has size - 1 words behind it, or at the first word
+    # of a text that is shorter
+    at = np.arange(len(words))
+    left = (first + n_words)[doc] - at
+    start = np.flatnonzero((left >= size) | ((at == first[doc]) & (left < size)))
+    tokens = np.zeros(len(start), _U)
+    span = np.minimum(left[start], size)
+    for k in range(size):
+        has = span > k
+        tokens[has] += words[start[has] + k] * _U(2 * k + 1) * _FACTOR
+        tokens[has] = mix(tokens[has], k)
+    doc = doc[start]
+    order = np.lexsort((tokens, doc))
+    doc, tokens = doc[order], tokens[order]
+    new = np.append(True, (doc[1:] != doc[:-1]) | (tokens[1:] != tokens[:-1]))
+    return doc[new], tokens[new]
+
+
+def chunks(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of bounded size (longer texts alone), with the number of the first."""
+    at, own, size = 0, [], 0
+    for i, text in enumerate(texts):
+        text = text or b""
+        if own and size + len(text) > CHUNK_BYTES:
+            yield at, own
+            at, own, size = i, [], 0
+        own.append(text)
+        size += len(text)
+    if own:
+        yield at, own
+
+
+def _total(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums (modulo 2**64) of the runs of ``values`` that end before ``ends``."""
+    sums = np.append(_U(0), np.cumsum(values, dtype=_U))[ends]
+    return np.diff(sums, prepend=_U(0))
+
+
+def fingerprints(doc: np.ndarray, token: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Set size and two 64-bit fingerprints of each of ``n`` texts."""
+    sizes = np.bincount(doc, minlength=n)
+    ends = np.cumsum(sizes)
+    one = mix(_total(mix(token, 1), ends) + sizes.astype(_U), 2)
+    two = mix(_total(mix(token, 3), ends) + sizes.astype(_U), 4)
+    return sizes, one, two
+
+
+class Bands:
+    """Size bands for a similarity of ``num / den``: bounds, segments, designated segments."""
+
+    def __init__(self, similarity: tuple[int, int]):
+        self.num, self.den = similarity
+        self.low, self.segments = [1], []
+
+    def partner(self, size: int) -> int:
+        """The largest set that a set of ``size`` can be similar to."""
+        return size * self.den // self.num
+
+    def differences(self, total: int) -> int:
+        """Most tokens in which two similar sets of ``total`` tokens together can differ."""
+        return total - 2 * (-(-self.num * total // (self.num + self.den)))
+
+    def extend(self, size: int) -> None:
+        while self.low[-1] <= size:
+            low = self.low[-1]
+            high = max(low, int(low * BAND_RATIO) - 1)
+            most = high + self.partner(high)
+            totals = range(max(2 * low, most - 2 * (self.num + self.den)), most + 1)
+            self.segments.append(1 + max(0, *map(self.differences, totals)))
+            self.low.append(high + 1)
+
+    def arrays(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        self.extend(size)
+        return np.array(self.low), np.array(self.segments)
+
+
+def designated(segments: np.ndarray) -> np.ndarray:
+    return -(-segments // DESIGNATED)
+
+
+# Bits of a signature's ``meta``: whole segment (else one token is left out), own band (else
+# looking up a lower one), designated segment; then 8 bits for the band, then the set's size.
+WHOLE, OWN, DESIG = 1, 2, 4
+BAND_SHIFT, SIZE_SHIFT = 3, 11
+
+
+def signatures(
+    doc: np.ndarray, token: np.ndarray, sizes: np.ndarray, similarity: tuple[int, int]
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(signature, doc, meta)`` of all segments of all sets, band by band."""
+    bands = Bands(similarity)
+    low, segments = bands.arrays(int(sizes.max(initial=0)))
+    own = np.searchsorted(low, sizes, side="right") - 1
+    least = -(-sizes * bands.num // bands.den)  # size of the smallest similar set
+    down, place, mark = 0, mix(token, 5) >> _U(32), mix(token, 6)
+    while True:
+        band = own - down
+        here = (sizes > 0) & (band >= 0)
+        band = np.where(here, band, 0)
+        here &= (low[band + 1] - 1 >= least) & (segments[band] > 1)
+        if not here.any() and down > 0 and not ((sizes > 0) & (own - down >= 0) & (low[band + 1] - 1 >= least)).any():
+            return
+        pick = here[doc]
+        d, h, p = doc[pick], mark[pick], place[pick]
+        if len(d):
+            m = np.where(here, segments[band], 0)
+            offset = np.cumsum(m) - m
+            seg = ((p * m[d].astype(_U)) >> _U(32)).astype(np.int64)
+            at = offset[d] + seg
+            order = np.argsort(at, kind="stable")
+            counts = np.bincount(at, minlength=int(m.sum()))
+            sums = _total(h[order], np.cumsum(counts))
+            owner = np.repeat(np.arange(len(sizes)), m)
+            number = np.arange(len(owner)) - offset[owner]
+            salt = mix((band[owner].astype(_U) << _U(40)) | number.astype(_U), 7)
+            desig = number < designated(m)[owner]
+            meta = (sizes << SIZE_SHIFT) | (band << BAND_SHIFT) | (OWN if down == 0 else 0)
+            yield mix(sums + salt, 8), owner, meta[owner] | np.where(desig, DESIG, 0) | WHOLE
+            less = np.flatnonzero(desig[at])
+            yield mix(sums[at[less]] - h[less] + salt[at[less]], 8), d[less], meta[d[less]] | DESIG
+        down += 1
+
+
+def sets_of(docs: DataFrame, shingle: int) -> DataFrame:
+    """``doc_id, rid, n, cls, check``: set size, class and second fingerprint of each document."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "rid", "n", "cls", "check")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for _, texts in chunks(batch.column(2).to_pylist()):
+                doc, token = shingle_sets(texts, shingle)
+                found.append(fingerprints(doc, token, len(texts)))
+            if found:
+                n, one, two = (np.concatenate(c) for c in zip(*found))
+                arrays = [pa.array(c.view(np.int64), pa.int64()) for c in (n, one, two)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], schema=schema)
+
+    narrow = docs.select("doc_id", "rid", F.col("text").cast("binary").alias("text"))
+    return narrow.mapInArrow(run, "doc_id long, rid long, n long, cls long, check long")
+
+
+def signature_rows(docs: DataFrame, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """``sig, cls, meta`` of all documents."""
+    schema = pa.schema([(c, pa.int64()) for c in ("sig", "cls", "meta")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in chunks(batch.column(0).to_pylist()):
+                doc, token = shingle_sets(texts, shingle)
+                sizes, one, _ = fingerprints(doc, token, len(texts))
+                cls = one.view(np.int64)
+                for sig, owner, meta in signatures(doc, token, sizes, similarity):
+                    columns = [sig.view(np.int64), cls[owner], meta.astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    narrow = docs.select(F.col("text").cast("binary").alias("text"))
+    return narrow.mapInArrow(run, "sig long, cls long, meta long")
+
+
+def shared_signatures(rows: DataFrame) -> DataFrame:
+    """Rows whose signature two classes have, one of them in its own band, one with the whole
+    segment. One exchange serves the counts and the rows; hot signatures stream through it."""
+    dealt = rows.repartition("sig")
+    meta = F.col("meta")
+    useful = dealt.groupBy("sig").agg(
+        F.min("cls").alias("least"),
+        F.max("cls").alias("most"),
+        F.max(meta.bitwiseAND(OWN)).alias("own"),
+        F.max(meta.bitwiseAND(WHOLE)).alias("whole"),
+    )
+    useful = useful.where("least != most AND own > 0 AND whole > 0").select("sig")
+    return materialize(dealt.join(useful.hint("shuffle_hash"), "sig", "left_semi").dropDuplicates())
+
+
+def allocate(shared: DataFrame, bands: Bands) -> DataFrame:
+    """``shared`` with ``asks``: whether the set looks this signature up, under its allocation.
+
+    Costs are the numbers of sets that lookups find. If a set's most frequent segments, as many as
+    it has designated ones, find more than the one-deletion neighbourhoods of the latter would,
+    the former go to -1 and the latter to 1; else all stay at 0.
+    """
+    meta = F.col("meta")
+    counts = shared.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("freq"), F.count(F.when(meta.bitwiseAND(WHOLE) > 0, 1)).alias("wholes")
+    )
+    allowed = F.array(*[F.lit(int(designated(np.int64(m)))) for m in bands.segments])
+    band = F.shiftright(meta, BAND_SHIFT).bitwiseAND(255).cast("int")
+    rows = shared.join(counts, "sig").select(
+        "sig",
+        "cls",
+        "freq",
+        (meta.bitwiseAND(WHOLE) > 0).alias("whole"),
+        (meta.bitwiseAND(OWN) > 0).alias("own"),
+        (meta.bitwiseAND(DESIG) > 0).alias("desig"),
+        band.alias("band"),
+        F.shiftright(meta, SIZE_SHIFT).alias("n"),
+        F.when(meta.bitwiseAND(DESIG) == 0, 0)
+        .when(meta.bitwiseAND(WHOLE) > 0, F.col("freq") - F.col("wholes"))
+        .otherwise(F.col("wholes"))
+        .alias("extra"),
+    )
+    rows = rows.withColumn("limit", F.get(allowed, F.col("band")))
+    # a window over the segments of one set in one band
+    own = Window.partitionBy("cls", "band")
+    plain = F.col("whole") & ~F.col("desig")
+    order = own.orderBy(F.when(plain, F.col("freq")).otherwise(0).desc(), "sig", F.col("whole").desc())
+    rows = rows.withColumn("top", plain & (F.row_number().over(order) <= F.col("limit")))
+    saved = F.sum(F.when(F.col("top"), F.col("freq")).otherwise(0)).over(own)
+    swapped = (saved > F.sum("extra").over(own)) & (
+        F.count(F.when(F.col("top"), 1)).over(own) == F.col("limit")
+    )
+    rows = rows.withColumn("swapped", swapped)
+    asks = F.when(F.col("swapped"), ~F.col("top")).otherwise(F.col("whole"))
+    return rows.select("sig", "cls", "n", "freq", "whole", "own", asks.alias("asks"))
+
+
+def hub_pairs(rows: DataFrame, similar_sizes) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with the ``hub`` of their bucket, and distinct ``a, b``: hubs with members."""
+    support = rows.groupBy("cls").agg(F.sum(F.when(F.col("whole"), F.col("freq")).otherwise(0)).alias("support"))
+    ranked = rows.join(support, "cls")
+    rank = F.struct("whole", "support", "cls")
+    hubs = ranked.groupBy("sig").agg(
+        F.max_by(F.struct("cls", "n"), rank).alias("hub"),
+        F.bool_or("asks").alias("asked"),
+        F.bool_or("own").alias("owned"),
+    )
+    hubs = hubs.where("asked AND owned AND hub IS NOT NULL").select(
+        "sig", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n")
+    )
+    rows = materialize(rows.join(hubs, "sig"))
+    pairs = rows.where((F.col("cls") != F.col("hub")) & similar_sizes(F.col("n"), F.col("hub_n")))
+    return rows, pairs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+
+
+def other_pairs(
+    rows: DataFrame, verified: DataFrame, roots: DataFrame, similar_sizes, similarity: tuple[int, int]
+) -> DataFrame:
+    """``a, b``: pairs of a bucket that are in different groups so far and may yet be similar."""
+    num, den = similarity
+    apart = verified.select(
+        F.col("a").alias("hub"), F.col("b").alias("cls"), (1 - F.col("common") / F.col("total")).alias("d")
+    )
+    hub_root = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+    rows = rows.where(F.col("cls") != F.col("hub"))
+    rows = rows.join(roots.withColumnRenamed("id", "cls"), "cls", "left").join(hub_root, "hub", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "cls")).withColumn("hub_root", F.coalesce("hub_root", "hub"))
+    # only buckets that have a member outside the hub's group matter
+    mixed = rows.where("root != hub_root").select("sig").distinct()
+    rows = rows.join(mixed, "sig", "left_semi").join(apart, ["hub", "cls"], "left")
+    rows = materialize(rows.select("sig", "cls", "n", "whole", "own", "asks", "root", "hub_root", "d"))
+    left = rows.where("root != hub_root").select(*[F.col(c).alias(f"x_{c}") for c in rows.columns])
+    pairs = left.join(rows, F.col("sig") == F.col("x_sig")).where(
+        (F.col("root") != F.col("x_root"))
+        & (F.col("asks") | F.col("x_asks"))
+        & (F.col("whole") | F.col("x_whole"))
+        & (F.col("own") | F.col("x_own"))
+        & similar_sizes(F.col("n"), F.col("x_n"))
+        & F.coalesce(F.abs(F.col("d") - F.col("x_d")) <= 1 - num / den + 1e-9, F.lit(True))
+    )
+    return pairs.select(F.greatest("cls", "x_cls").alias("a"), F.least("cls", "x_cls").alias("b")).distinct()
+
+
+def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int) -> DataFrame:
+    """``a, b, common, total``: sizes of intersection and union of the word shingles of classes."""
+    pairs = materialize(pairs)
+    texts = class_texts(docs, sets, pairs, shingle)
+    left = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "common", "total")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kept = None, set()
+        for batch in batches:
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            common, total = [], []
+            for key, one, two in zip(a, batch.column(2), batch.column(3)):
+                if key != last:
+                    last, kept = key, word_shingles(one.as_py(), shingle)
+                other = word_shingles(two.as_py(), shingle)
+                same = len(kept & other)
+                common.append(same)
+                total.append(len(kept) + len(other) - same)
+            columns = [a, b, common, total]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    return materialize(both.mapInArrow(run, "a long, b long, common long, total long"))
+
+
+def class_texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """``cls, text`` of one document of each class in ``pairs``."""
+    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
+    one = materialize(sets.join(wanted.distinct(), "cls").groupBy("cls").agg(F.min("rid").alias("rid")))
+    texts = docs.select("rid", F.col("text").cast("binary").alias("text")).join(one, "rid")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            for at, own in chunks(batch.column(1).to_pylist()):
+                _, cls, _ = fingerprints(*shingle_sets(own, shingle), len(own))
+                if (cls.view(np.int64) != keys[at : at + len(own)]).any():
+                    raise ValueError("the documents come in another order when they are read again")
+            yield batch
+
+    return texts.select("cls", "text").mapInArrow(check, "cls long, text binary")
+
+
+def word_shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
+    """The shingles themselves; ``bytes.lower`` and ``bytes.split`` know ASCII only, as wanted."""
+    words = text.lower().split()
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return set(zip(*(words[k:] for k in range(size))))
+
+
+def grouped(
+    docs: DataFrame, shingle: int, similarity: tuple[int, int]
+) -> tuple[DataFrame, DataFrame]:
+    """``(sets, roots)``: set sizes and classes of ``docs`` (``rid, doc_id, text``), and the root
+    of every class that is linked with another."""
+    num, den = similarity
+    sets = materialize(sets_of(docs, shingle))
+    clash = sets.groupBy("cls").agg(
+        F.min(F.struct("check", "n")).alias("x"), F.max(F.struct("check", "n")).alias("y")
+    )
+    if not clash.where("x != y").isEmpty():
+        raise ValueError("two different sets have one fingerprint")
+    bands = Bands(similarity)
+    bands.extend(sets.agg(F.max("n")).first()[0] or 0)
+
+    def similar_sizes(x, y):
+        return F.least(x, y) * den >= F.greatest(x, y) * num
+
+    shared = shared_signatures(signature_rows(docs, shingle, similarity))
+    rows, pairs = hub_pairs(allocate(shared, bands), similar_sizes)
+    verified = verify(pairs, docs, sets, shingle)
+    links = verified.where(F.col("common") * den >= F.col("total") * num).select("a", "b")
+    roots = materialize(connected(links))
+    more = verify(other_pairs(rows, verified, roots, similar_sizes, similarity), docs, sets, shingle)
+    found = more.where(F.col("common") * den >= F.col("total") * num).select("a", "b")
+    if not found.isEmpty():
+        roots = materialize(connected(links.unionByName(found)))
+    return sets, roots
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.monotonically_increasing_id().alias("rid"),
+    )
+
+
+def _with_group(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """``sets`` with ``group``: the root of the class, null for documents without words."""
+    joined = sets.join(roots.withColumnRenamed("id", "cls"), "cls", "left")
+    return joined.withColumn("group", F.when(F.col("n") > 0, F.coalesce("root", "cls"))).drop("root")
+
+
+def components(
+    docs: DataFrame,
+    shingle: int = 5,
+    similarity: tuple[int, int] = (80, 100),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document; ``docs`` must be a table scan or
+    otherwise come in the same order each time it is read."""
+    sets, roots = grouped(_numbered(docs, id_col, text_col), shingle, similarity)
+    rows = materialize(_with_group(sets, roots).select("doc_id", "n", "group"))
+    least = rows.where("group IS NOT NULL").groupBy("group").agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("members")
+    )
+    # most groups are one document
+    joined = rows.join(least.where("members > 1"), "group", "left")
+    return joined.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
+    )
+
+
+def keep_one(
+    docs: DataFrame,
+    shingle: int = 5,
+    similarity: tuple[int, int] = (80, 100),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with their own columns, but of each group only that with the least
+    id (nulls last; of repeated rows the first)."""
+    sets, roots = grouped(_numbered(docs, id_col, text_col), shingle, similarity)
+    rows = _with_group(sets, roots).where("group IS NOT NULL")
+    rows = materialize(
+        rows.select("group", "rid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"))
+    )
+    first = rows.groupBy("group").agg(
+        F.min_by("rid", F.struct("order", "rid")).alias("first"), F.count(F.lit(1)).alias("members")
+    )
+    gone = rows.join(first.where("members > 1"), "group").where("rid != first").select("rid")
+    boxed = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("rid"))
+    return boxed.join(materialize(gone), "rid", "left_anti").select("doc.*")
