@@ -154,9 +154,9 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int) ->
         "doc_id", F.struct("item_id", "item_words", "begin").alias("place")
     )
     found = materialize(found.groupBy("doc_id").agg(F.collect_list("place").alias("places")))
-    joined = docs.join(
-        found.withColumnRenamed("doc_id", "found_id"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left"
-    ).drop("found_id")
+    # one way at every size: the list of places grows with the documents, so it is never broadcast
+    found = found.withColumnRenamed("doc_id", "found_id").hint("merge")
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
     joined = joined.withColumn("words", words(F.col("text")))
 
     def windows(place: Column) -> Column:
