@@ -27,9 +27,9 @@ def test_flow_exports(spark, tmp_path):
     exports = corpus.read_flow_exports(spark, str(tmp_path))
     row = flows.group_index(exports).collect()
     assert [(r.flow_id, r.name) for r in row] == [(f"{tmp_path}/a.json", "é")]
-    out = str(tmp_path / "pretty")
-    sinks.write_pretty_json(exports, out)
-    assert spark.read.text(out, wholetext=True).first().value == (tmp_path / "a.json").read_text() + "\n"
+    out = str(tmp_path / "json")
+    sinks.write_flow_json(exports, out)
+    assert json.loads(spark.read.text(out).first().value) == json.loads((tmp_path / "a.json").read_text())
 
 
 def test_field_dictionary_round_trip(spark, tmp_path):

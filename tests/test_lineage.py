@@ -4,6 +4,7 @@ import itertools
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from wellspring.operators import chains, deps, flows, match
@@ -163,6 +164,28 @@ def test_malformed_export_gives_no_row(spark):
     assert flows.schema_paths(flow(spark, "{oops")).count() == 0
 
 
+def test_bad_exports_are_reported_and_harm_nothing(spark):
+    texts = ["[" * 400, "[" * 5000, '{"a": [{"b": 1}]}', "7", "", None, "[" * 300 + "]" * 300]
+    exports = spark.createDataFrame(list(enumerate(texts)), "flow_id int, json string")
+    found = flows.walk(exports, "true", "1").groupBy("flow_id").count().collect()
+    assert {r.flow_id: r["count"] for r in found} == {2: 3, 3: 1, 6: 300}
+    lost = {r.flow_id: r.reason for r in flows.flow_rejects(exports).collect()}
+    assert lost == {0: "not JSON", 1: "not JSON", 4: "no text", 5: "no text"}
+
+
+def test_exports_over_a_limit_fail(spark):
+    deep = spark.createDataFrame([(1, "[" * 1500 + "]" * 1500)], "flow_id int, json string")
+    assert [r.reason for r in flows.flow_rejects(deep).collect()] == ["over a limit"]
+    with pytest.raises(Exception, match="over the parser's limits"):
+        flows.parse_flows(deep).collect()
+
+
+def test_long_strings_are_kept(spark):
+    text = spark.range(1).selectExpr("1 AS flow_id", "concat('{\"k\":\"', repeat('x', 20 << 20), '\"}') AS json")
+    found = flows.values_of_key(text, "k").selectExpr("length(value) AS n").collect()
+    assert [r.n for r in found] == [(20 << 20) + 2]
+
+
 def test_schema_types(spark):
     rows = flows.schema_paths(flow(spark, {"a": [1, "x", {"b": True}], "c": None, "d": 1.5})).collect()
     assert {(r.json_path, r.type) for r in rows} == {

@@ -10,8 +10,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
-from wellspring.plans.registry import Inputs  # noqa: E402
-from wellspring.plans.table_lineage import TableLineage  # noqa: E402
+from wellspring.plans.oracles import ORACLES  # noqa: E402
+from wellspring.plans.registry import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = [f.removesuffix(".parquet") for f in sorted(os.listdir(SF_DIR))]
@@ -25,32 +25,6 @@ def duck():
     return con
 
 
-@pytest.fixture(scope="module", autouse=True)
-def shared_lineage():
-    """Builds table and field lineage once; the queries on top of them run on the same tables."""
-    patch = pytest.MonkeyPatch()
-    lineage, fields = Inputs.lineage, Inputs.field_lineage
-    walks = {n: getattr(TableLineage, n) for n in ("warehouse_chains", "lake_chains")}
-    memo = {}
-
-    def once(key, build):
-        if key not in memo:
-            memo[key] = build()
-        return memo[key]
-
-    patch.setattr(Inputs, "lineage", lambda self: once("lineage", lambda: lineage(self)))
-    patch.setattr(Inputs, "field_lineage", lambda self: once("fields", lambda: fields(self)))
-    for name, walk in walks.items():
-
-        def shared(self, tables=None, name=name, walk=walk):
-            whole = tables is None and self is memo.get("lineage")
-            return once(name, lambda: walk(self)) if whole else walk(self, tables)
-
-        patch.setattr(TableLineage, name, shared)
-    yield
-    patch.undo()
-
-
 def canonical(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
@@ -62,12 +36,12 @@ def canonical(columns, rows):
     return sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     mine = df.collect()
     assert mine, "no rows"
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         return
     result = duck.execute(sql)

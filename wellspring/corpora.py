@@ -44,9 +44,22 @@ FLOWS = """
 select s_suppkey as flow_id, concat('{"flowContents":{"name":"root","componentType":"PROCESS_GROUP","processGroups":[{"identifier":"g', cast(s_suppkey as string), '","name":"grp', cast(s_suppkey % 7 as string), '","componentType":"PROCESS_GROUP","groupIdentifier":"root","processGroups":[],"processors":[{"identifier":"p1","name":"', case when s_suppkey % 3 = 0 then 'List Files' else 'Put' end, '","scheduledState":"', case when s_suppkey % 4 = 0 then 'DISABLED' else 'ENABLED' end, '","bundle":{"version":"1.', cast(s_suppkey % 2 as string), '"}},{"identifier":"p2","name":"Fetch","scheduledState":"', case when s_suppkey % 8 = 0 then 'DISABLED' else 'ENABLED' end, '","bundle":{"version":"1.0"}}],"variables":{"flux.name":"FLUX_', cast(s_suppkey % 11 as string), '","flux.sftp.remote-path":"srv', cast(s_suppkey % 5 as string), '","flux.hdfs.filedir":"/PROD/RAW/D', cast(s_suppkey % 6 as string), '","flux.hdfs.subdir-names":"S', cast(s_suppkey % 4 as string), ';S', cast((s_suppkey + 1) % 4 as string), '","flux.sftp.port":"22"}}]}}') as json from supplier
 """
 
+# malformed, deeply nested, scalar and absent exports among plain ones
+ODD_FLOWS = """
+select s_suppkey as flow_id, case s_suppkey % 8
+ when 0 then repeat('[', 3000)
+ when 1 then concat('{"a":', cast(s_suppkey as string))
+ when 2 then cast(s_suppkey as string)
+ when 3 then concat(repeat('[', cast(1 + s_suppkey % 40 as int)), repeat(']', cast(1 + s_suppkey % 40 as int)))
+ when 4 then ''
+ when 5 then null
+ when 6 then 'not json'
+ else '{"a":1}' end as json from supplier
+"""
+
 DDL = """
 select concat('/PROD/SCRIPTS/create_', cast(k as string), '.hql') as path,
- case when k % 3 = 0 then concat('CREATE TABLE IF NOT EXISTS MON.SPARK_FT_', cast(k as string), ' (id BIGINT, r', cast(k % 3 as string), ' DOUBLE) PARTITIONED BY (event_date DATE) STORED AS ORC')
+ case when k % 3 = 0 then concat('CREATE TABLE IF NOT EXISTS MON.SPARK_FT_', cast(k as string), ' (id BIGINT, ', case when k % 2 = 0 then '' else 'deep map<string,struct<a:array<map<string,struct<b:decimal(10,2),c:int>>>,d:int>>, ' end, 'r', cast(k % 3 as string), ' DOUBLE) PARTITIONED BY (event_date DATE) STORED AS ORC')
       when k % 3 = 1 then concat('create table mon.spark_ft_', cast(k as string), ' (id bigint, r1 double) stored as parquet')
       else concat('CREATE EXTERNAL TABLE CDR.TT_', cast(k as string), ' (id STRING, v STRING) ROW FORMAT DELIMITED FIELDS TERMINATED BY '';'' LOCATION ''/PROD/TT/', cast(k as string), '''') end as content
 from (select p_partkey as k from part) x

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
+from wellspring.session import work_dir
 
 VARIABLES = "try_variant_get(node, '$.variables', 'map<string,string>')"
 PROCESSORS = (
@@ -18,58 +18,60 @@ PROCESSORS = (
 )
 
 
-def parse_flows(flows: DataFrame, json: str = "json") -> DataFrame:
-    """``flow_id, doc``: exports as VARIANT; malformed ones give no row."""
-    parsed = flows.select("flow_id", F.try_parse_json(F.col(json)).alias("doc"))
-    return parsed.where(F.col("doc").isNotNull())
+# One string may be longer than the parser allows by default; nesting stays limited to 1000 levels.
+PARSER_OPTIONS = {"maxStringLen": str((1 << 31) - 1)}
+MOST_LEVELS = 1000
+#: Levels that one job descends.
+BLOCK_LEVELS = 6
 
 
-JSON_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},:]|[^\s\[\]{},:"]++'
+def _parsed(flows: DataFrame, json: str) -> DataFrame:
+    doc = F.from_json(F.col(json), "variant", PARSER_OPTIONS)
+    return flows.select("flow_id", F.col(json).alias("text"), doc.alias("doc"))
 
 
-def pretty_lines(flows: DataFrame, json: str = "json") -> DataFrame:
-    """``flow_id, line_no, line``: well-formed exports indented by four blanks, keys in order.
+def _over_limit(text: Column) -> Column:
+    """Is a text that gave no document well-bracketed, but nested too deep for the parser?"""
+    return _nesting(text) > MOST_LEVELS
 
-    A line starts after an opening bracket or a comma and before a closing bracket; empty
-    containers stay on one line.
-    """
-    text = F.col(json)
-    tokens = flows.where(F.try_parse_json(text).isNotNull()).select(
-        "flow_id", F.posexplode(X.all_matches(text, JSON_TOKEN, 0)).alias("pos", "tok")
-    )
-    order = W.partitionBy("flow_id").orderBy("pos")
-    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    tok, prev = F.col("tok"), F.lag("tok", 1, "").over(order)
-    opens, closes = tok.isin("{", "["), tok.isin("}", "]")
-    after_open = F.col("prev").isin("{", "[")
-    starts = (F.col("prev") == ",") | (after_open & ~closes) | (closes & ~after_open)
-    depth = F.sum(opens.cast("int") - closes.cast("int")).over(so_far) - opens.cast("int")
-    rows = tokens.withColumn("prev", prev).select(
-        "flow_id",
-        "pos",
-        F.when(tok == ":", ": ").otherwise(tok).alias("tok"),
-        depth.alias("depth"),
-        F.sum(starts.cast("int")).over(so_far).alias("line_no"),
-    )
-    first_depth = F.min_by("depth", "pos").cast("int")
-    pieces = F.transform(F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda p: p["tok"])
-    return rows.groupBy("flow_id", "line_no").agg(
-        F.concat(F.repeat(F.lit("    "), first_depth), F.array_join(pieces, "")).alias("line")
+
+def parse_flows(flows: DataFrame, json: str = "json") -> DataFrame:
+    """``flow_id, doc``: exports as VARIANT. Malformed ones give no row; well-bracketed ones that
+    exceed the parser's limits fail the job instead of vanishing."""
+    parsed = _parsed(flows, json)
+    fail = F.raise_error(F.concat(F.lit("flow export over the parser's limits: "), F.col("flow_id").cast("string")))
+    doc = F.when(F.col("doc").isNull() & _over_limit(F.col("text")), fail).otherwise(F.col("doc"))
+    return parsed.select("flow_id", doc.alias("doc")).where(F.col("doc").isNotNull())
+
+
+def flow_rejects(flows: DataFrame, json: str = "json") -> DataFrame:
+    """``flow_id, reason`` of exports without a document: no text, not JSON, or over a limit."""
+    lost = _parsed(flows, json).where(F.col("doc").isNull())
+    reason = (
+        F.when(F.col("text").isNull() | (F.trim("text") == ""), "no text")
+        .when(_over_limit(F.col("text")), "over a limit")
+        .otherwise("not JSON")
     )
+    return lost.select("flow_id", reason.alias("reason"))
 
 
 def _nesting(json: Column) -> Column:
-    """Greatest bracket depth of a JSON text, strings left out."""
+    """Bracket depth of a JSON text, strings left out; 0 if its brackets do not pair up."""
     brackets = F.regexp_replace(
         F.regexp_replace(json, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', ""), r"[^\[\]{}]+", ""
     )
-    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"), F.lit(0).alias("low"))
 
     def step(acc: Column, bracket: Column) -> Column:
         now = acc["now"] + F.when(bracket.isin("{", "["), 1).when(bracket == "", 0).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(acc["top"], now).alias("top"))
+        return F.struct(
+            now.alias("now"),
+            F.greatest(acc["top"], now).alias("top"),
+            F.least(acc["low"], now).alias("low"),
+        )
 
-    return F.aggregate(F.split(brackets, ""), zero, step, lambda acc: acc["top"])
+    paired = lambda acc: F.when((acc["now"] == 0) & (acc["low"] == 0), acc["top"]).otherwise(0)
+    return F.aggregate(F.split(brackets, ""), zero, step, paired)
 
 
 # Objects and arrays directly inside a node. Array items get a zero-padded index as key, so that
@@ -89,17 +91,16 @@ def walk(flows: DataFrame, keep: str, payload: str, json: str = "json") -> DataF
     """``flow_id, path, payload`` for every object or array of an export that satisfies ``keep``.
 
     ``keep`` and ``payload`` are SQL expressions over ``node``; ``path`` is the array of keys from
-    the root. The walk is a chain of as many generators as the deepest document has levels: no
-    shuffle per level and no recursion limit. A node leaves only its payload behind, so later steps
-    carry the open subtrees and nothing else. Documents are spread over the cluster again once
-    the top levels are split, as one export may hold most groups.
+    the root. One job descends ``BLOCK_LEVELS`` levels by as many generators, whatever the data, and
+    writes what it found and the subtrees still open; the next job goes on from those. Documents
+    are spread over the cluster again once the top levels are split, as one export may hold most
+    groups.
     """
-    levels = flows.select(F.max(_nesting(F.col(json)))).first()[0] or 0
+    spark = flows.sparkSession
     root = parse_flows(flows, json).selectExpr(
         "flow_id", "cast(array() AS array<string>) AS path", "doc AS node"
     )
     kind = root.selectExpr(f"{payload} AS p").schema["p"].dataType.simpleString()
-    nodes = root.withColumn("payload", F.lit(None).cast(kind))
     row = f"struct<path:array<string>,node:variant,payload:{kind}>"
     step = f"""
         inline(
@@ -113,11 +114,21 @@ def walk(flows: DataFrame, keep: str, payload: str, json: str = "json") -> DataF
               c -> cast(struct(array_append(path, c.key), c.node, NULL) AS {row})))
           END)
     """
-    for level in range(levels):
-        if level == 3:
-            nodes = nodes.hint("rebalance")
-        nodes = nodes.selectExpr("flow_id", step)
-    return nodes.where("node IS NULL").select("flow_id", "path", "payload")
+    base, block, opened = work_dir(spark), 0, root
+    while True:
+        nodes = opened.withColumn("payload", F.lit(None).cast(kind))
+        for level in range(BLOCK_LEVELS):
+            if block == 0 and level == 3:
+                nodes = nodes.hint("rebalance")
+            nodes = nodes.selectExpr("flow_id", step)
+        nodes.write.parquet(f"{base}/block={block}")
+        stored = spark.read.schema(nodes.schema).parquet(f"{base}/block={block}")
+        opened = stored.where("node IS NOT NULL").select("flow_id", "path", "node")
+        if opened.isEmpty():
+            break
+        block += 1
+    found = spark.read.schema(nodes.schema).option("basePath", base).parquet(base)
+    return found.where("node IS NULL").select("flow_id", "path", "payload")
 
 
 def _has(key: str) -> str:

@@ -76,13 +76,24 @@ def quoted_sources(scripts: DataFrame) -> DataFrame:
 def _column_names(body: Column) -> Column:
     """First word of every top-level item of a DDL column list.
 
-    Types with arguments (``decimal(10,2)``, ``map<string,int>``) hold commas of their own, so
-    bracketed parts are blanked, innermost first, before the split.
+    Types with arguments (``decimal(10,2)``, ``map<string,int>``) hold commas of their own, so only
+    what stands outside all brackets is split.
     """
     flat = F.regexp_replace(body, r"(?is)\bCOMMENT\s+'[^'\\]*+(?:\\.[^'\\]*+)*+'", "")
     flat = X.remove_comments(F.concat(flat, F.lit("\n")))
-    for _ in range(4):
-        flat = F.regexp_replace(flat, r"<[^<>()]*+>|\([^<>()]*+\)", "")
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("outside"))
+
+    def step(acc: Column, part: Column) -> Column:
+        opens, closes = part.isin("<", "("), part.isin(">", ")")
+        plain = (acc["depth"] == 0) & ~opens & ~closes
+        depth = acc["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        return F.struct(
+            F.greatest(depth, F.lit(0)).alias("depth"),
+            F.when(plain, F.array_append(acc["outside"], part)).otherwise(acc["outside"]).alias("outside"),
+        )
+
+    parts = X.all_matches(flat, r"[<>()]|[^<>()]++", 0)
+    flat = F.array_join(F.aggregate(parts, start, step)["outside"], "")
     words = F.transform(
         F.split(flat, ","), lambda item: F.regexp_extract(item, r"(?U)^\s*`?(\w+)`?\s+\w", 1)
     )

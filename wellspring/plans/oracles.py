@@ -173,20 +173,24 @@ SERVED = cte(
 ALL_SERVED = [*WAREHOUSE, FLOWS, GROUPS, *MATCHES, SERVED]
 
 
-def wide(source: str, names: str, extra: str = "") -> str:
-    """One column per path position; the longest path decides how many."""
+def wide(source: str, names: str, extra: dict[str, str]) -> str:
+    """Cells by path position, then ``extra`` (name: expression); the longest path decides how many."""
+    columns = "".join(f", {value} AS e{k}" for k, value in enumerate(extra.values()))
+    cells = ", ".join(f"coalesce(CAST(e{k} AS VARCHAR), '~')" for k in range(len(extra)))
+    header = ", ".join(f"'{name}'" for name in extra)
     return (
-        f"SELECT * EXCLUDE (rid) FROM (PIVOT (SELECT * EXCLUDE (path, i), path[i] AS cell, {names} AS pos FROM "
-        f"(SELECT *, unnest(range(1, len(path) + 1)) AS i FROM (SELECT row_number() OVER () AS rid, * FROM "
-        f"(SELECT DISTINCT path{extra} FROM {source})))) ON pos USING first(cell))"
+        f"SELECT n + {len(extra)} AS n_columns, array_to_string(list_transform(range(1, n + 1), lambda i: {names}) || [{header}], '|') AS header, "
+        f"array_to_string(list_transform(list_resize(path, n), lambda x: coalesce(x, '~')) || [{cells}], '|') AS cells "
+        f"FROM (SELECT DISTINCT path{columns} FROM {source}), (SELECT max(len(path)) AS n FROM {source})"
     )
 
 
 CHAIN_NAMES = "CASE i WHEN 1 THEN 'Table_RDMS' WHEN 2 THEN 'Table_Hive' ELSE 'Dep_datalake' || (i - 2) END"
-SERVER_NAMES = (
-    ', server AS "Server", raw_path AS "Raw_Path", flux_name AS "Flux_Name", nb_processors AS "Nb_processor",'
-    ' nb_disabled_processors AS "Nb_disabled_processors", ip_adress AS "Hostname", port AS "Port", username AS username'
-)
+LAKE_NAMES = "CASE i WHEN 1 THEN 'Table_Principale' ELSE 'Dep_datalake' || (i - 1) END"
+SERVER_NAMES = {
+    "Server": "server", "Raw_Path": "raw_path", "Flux_Name": "flux_name", "Nb_processor": "nb_processors",
+    "Nb_disabled_processors": "nb_disabled_processors", "Hostname": "ip_adress", "Port": "port", "username": "username",
+}
 
 # --- column lineage ----------------------------------------------------------------------------
 # A flat script is INSERT INTO TABLE t SELECT a.id, SUM(a.v + b.w) AS r<n> FROM d1 a JOIN d2 b ...
@@ -327,10 +331,17 @@ ORACLES = {
     "s05_catalog_snapshot": with_(CATALOG, select="SELECT * FROM catalog_rows"),
     "k01_lineage_sink": with_(SCRIPTS, CLEAN, IO, select="SELECT DISTINCT target, nullif(array_to_string(list_sort(sources), ', '), '') AS sources FROM io"),
     "k04_file_paths": with_(SCRIPTS, select="SELECT path FROM scripts"),
-    "k05_pretty_flows": with_(
+    "k05_flow_json": with_(
         FLOWS,
-        cte("pretty", "SELECT flow_id, str_split(json_pretty(json), chr(10)) AS lines FROM flows"),
-        select="SELECT flow_id, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM pretty",
+        select="""SELECT json_extract_string(json, '$.flowContents.processGroups[0].identifier') AS identifier,
+                    json_extract_string(json, '$.flowContents.processGroups[0].name') AS name,
+                    json_extract_string(json, '$.flowContents.processGroups[0].processors[0].bundle.version') AS version,
+                    json_extract_string(json, '$.flowContents.processGroups[0].variables."flux.name"') AS flux_name FROM flows""",
+    ),
+    "s03_flow_exports": with_(
+        cte("odd", corpora.ODD_FLOWS),
+        select=r"""SELECT flow_id, CASE WHEN trim(coalesce(json, '')) = '' THEN 'no text' WHEN NOT json_valid(json) THEN 'not JSON' ELSE 'parsed' END AS reason,
+                    CASE WHEN json_valid(json) AND json LIKE '[%' THEN len(regexp_extract_all(json, '\[')) - 1 ELSE 0 END AS depth FROM odd""",
     ),
     # scripts
     "x01_clean_script": with_(SCRIPTS, CLEAN, select="SELECT path, c AS content FROM clean"),
@@ -346,7 +357,7 @@ ORACLES = {
     "x16_ddl": with_(
         DDL,
         select=r"""SELECT path, upper(regexp_extract(content, '(?i)TABLE (?:IF NOT EXISTS )?(\S+)', 1)) AS table_name,
-          array_to_string(list_transform(str_split(regexp_extract(content, '\((.*?)\)', 1), ', '), lambda f: upper(split_part(f, ' ', 1))), ',') AS fields,
+          array_to_string(list_transform(str_split(regexp_extract(regexp_replace(content, 'deep map<\S+', 'deep map,'), '\((.*?)\)', 1), ', '), lambda f: upper(split_part(f, ' ', 1))), ',') AS fields,
           nullif(upper(regexp_extract(content, 'PARTITIONED BY \(.*?\)')), '') AS partitioned_by, content LIKE '%IF NOT EXISTS%' AS if_not_exists FROM ddl""",
     ),
     "x17_ddl_catalog": with_(
@@ -406,7 +417,7 @@ ORACLES = {
     # chains
     "g01_warehouse_chains": warehouse("SELECT chain_id, dwh_table, lake_table, text AS path, v.r AS raw_path, v.t AS tt_dir FROM chains LEFT JOIN raws ON cdr_name = path[-1]"),
     "g02_wide_chain_report": warehouse(
-        wide("raw_chains", CHAIN_NAMES, ', "Raw_Path", it'),
+        wide("raw_chains", CHAIN_NAMES, {"Raw_Path": '"Raw_Path"', "it": "it"}),
         cte("raw_chains", 'SELECT path, v.r AS "Raw_Path", v.t AS it FROM chains LEFT JOIN raws ON cdr_name = path[-1]'),
     ),
     "g03_server_report_of_tables": with_(
@@ -424,7 +435,7 @@ ORACLES = {
     "g05b_wide_lake_report": with_(
         *LINEAGE, LAKE_WALK, LAKE_CHAINS,
         cte("labelled", "SELECT CASE WHEN is_cycle THEN list_append(path[:-2], path[-1] || ' (cycle détecté)') ELSE path END AS path, CASE WHEN NOT is_cycle THEN v.r END AS raw_path FROM lake_chains LEFT JOIN raws ON cdr_name = tip"),
-        select=wide("labelled", "CASE i WHEN 1 THEN 'Table_Principale' ELSE 'Dep_datalake' || (i - 1) END", ", raw_path"),
+        select=wide("labelled", LAKE_NAMES, {"raw_path": "raw_path"}),
         recursive=True,
     ),
     "g05c_lake_chains": with_(
@@ -511,7 +522,7 @@ ORACLES = {
     "j06_lake_fields": warehouse(
         r"""SELECT chain_id, lake_table, coalesce(f.fields, '') AS fields FROM chains LEFT JOIN (
           SELECT upper(regexp_extract(content, '(?i)TABLE (?:IF NOT EXISTS )?(\S+)', 1)) AS t,
-            array_to_string(list_transform(str_split(regexp_extract(content, '\((.*?)\)', 1), ', '), lambda x: upper(split_part(x, ' ', 1))), ',') AS fields FROM ddl) f ON f.t = lake_table""",
+            array_to_string(list_transform(str_split(regexp_extract(regexp_replace(content, 'deep map<\S+', 'deep map,'), '\((.*?)\)', 1), ', '), lambda x: upper(split_part(x, ' ', 1))), ',') AS fields FROM ddl) f ON f.t = lake_table""",
         DDL,
     ),
     "j07_chain_staging": warehouse("SELECT chain_id, chains.dwh_table, j.s AS staging_table FROM chains LEFT JOIN (SELECT upper(dwh_table) AS t, arg_min(staging_table_dwh, conf_path) AS s FROM jobs WHERE dwh_table IS NOT NULL GROUP BY upper(dwh_table)) j ON j.t = chains.dwh_table"),

@@ -90,6 +90,16 @@ def ordered(col: str | Column) -> Column:
     return F.array_join(col, ",")
 
 
+def as_cells(wide: DataFrame) -> DataFrame:
+    """A report of any width as fixed columns: number and names of its columns, and its cells."""
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in wide.columns]
+    return wide.select(
+        F.lit(len(wide.columns)).cast("long").alias("n_columns"),
+        F.lit("|".join(wide.columns)).alias("header"),
+        F.concat_ws("|", *cells).alias("cells"),
+    )
+
+
 def path_text(col: str | Column = "path") -> Column:
     return F.array_join(col, ">")
 
@@ -131,9 +141,29 @@ def _(i: Inputs) -> DataFrame:
     return i.spark.read.text(path).withColumnRenamed("value", "path")
 
 
-@query("k05_pretty_flows")
+@query("k05_flow_json")
+def _(i: Inputs) -> DataFrame:
+    path = work_dir(i.spark)
+    sinks.write_flow_json(i.flows, path)
+    text = i.spark.read.text(path)
+    group = "$.flowContents.processGroups[0]"
+    return text.select(
+        F.get_json_object("value", f"{group}.identifier").alias("identifier"),
+        F.get_json_object("value", f"{group}.name").alias("name"),
+        F.get_json_object("value", f"{group}.processors[0].bundle.version").alias("version"),
+        F.get_json_object("value", f"{group}.variables['flux.name']").alias("flux_name"),
+    )
+
+
+@query("s03_flow_exports")
 def _(i: Inputs) -> DataFrame:
-    return flows.pretty_lines(i.flows)
+    depth = F.max(F.size("path")).cast("long").alias("depth")
+    walked = flows.walk(i.odd_flows, "true", "1").groupBy("flow_id").agg(depth)
+    docs = flows.parse_flows(i.odd_flows).join(walked, "flow_id", "left")
+    lost = flows.flow_rejects(i.odd_flows)
+    return docs.select(
+        "flow_id", F.lit("parsed").alias("reason"), F.coalesce("depth", F.lit(0)).alias("depth")
+    ).unionByName(lost.withColumn("depth", F.lit(0).cast("long")))
 
 
 # --- scripts -----------------------------------------------------------------------------------
@@ -320,18 +350,18 @@ def _(i: Inputs) -> DataFrame:
 @query("g02_wide_chain_report")
 def _(i: Inputs) -> DataFrame:
     lineage = i.lineage()
-    return chains.wide_chain_report(lineage.warehouse_chains(), lineage.attrs)
+    return as_cells(chains.wide_chain_report(lineage.warehouse_chains(), lineage.attrs))
 
 
 @query("g03_server_report_of_tables")
 def _(i: Inputs) -> DataFrame:
     tables = report.dwh_tables(i.clean_report).withColumnRenamed("Table_RDMS", "dwh_table")
-    return table_lineage.server_report(i.confs, i.scripts, i.flows, tables)
+    return as_cells(table_lineage.server_report(i.confs, i.scripts, i.flows, tables))
 
 
 @query("g04_server_report")
 def _(i: Inputs) -> DataFrame:
-    return table_lineage.server_report(i.confs, i.scripts, i.flows)
+    return as_cells(table_lineage.server_report(i.confs, i.scripts, i.flows))
 
 
 @query("g05a_chains_of_table")
@@ -345,7 +375,7 @@ def _(i: Inputs) -> DataFrame:
 @query("g05b_wide_lake_report")
 def _(i: Inputs) -> DataFrame:
     lineage = i.lineage()
-    return chains.wide_lake_report(lineage.lake_chains(), lineage.attrs)
+    return as_cells(chains.wide_lake_report(lineage.lake_chains(), lineage.attrs))
 
 
 @query("g05c_lake_chains")

@@ -28,18 +28,10 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-SMALL_INPUT = 8 * 1024 * 1024
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Deals the rows of a small input out to all cores.
-
-    Text work is heavy for its bytes, and a file of one row group keeps all cores but one idle.
-    Inputs above 8 MB per core, as any on a cluster, have enough splits and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < SMALL_INPUT * cores else df
+    """Deals rows out to as many tasks as a shuffle has. Text work is heavy for its bytes, and
+    file splits do not say how heavy."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 @functools.cache

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.operators.flows import pretty_lines
+from wellspring.operators.flows import parse_flows
 
 
 def write_lineage(rows: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
@@ -33,7 +33,6 @@ def write_paths(files: DataFrame, path: str, mode: str = "errorifexists") -> Non
     files.select("path").write.mode(mode).text(path)
 
 
-def write_pretty_json(flows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Flow exports as indented JSON text; the lines of an export stay together, in order."""
-    lines = pretty_lines(flows).repartition("flow_id").sortWithinPartitions("flow_id", "line_no")
-    lines.select("line").write.mode(mode).text(path)
+def write_flow_json(flows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Flow exports as JSON lines, keys in order; malformed exports are left out."""
+    parse_flows(flows).select(F.to_json("doc").alias("value")).write.mode(mode).text(path)
