@@ -173,12 +173,13 @@ def test_unequal_field_lists_are_not_mapped(spark):
 def test_lake_tracking_and_its_fallback(spark):
     _, steps, found = tracking_case(spark)
     files = spark.createDataFrame([("Z.Z", "Z.Z", None), ("Z.Z", "A.A", "/s/insert_a")], "target string, table string, path string")
-    whole = tracking.lake_table_tracking("a.a", steps, files, found).collect()
+    track = lambda name: tracking.lake_table_tracking(tracking.lake_table_paths(name, steps, files), found)
+    whole = track("a.a").collect()
     assert {r.path for r in whole} == {"/s/insert_h", "/s/insert_a"}
     assert {r.column for r in whole} == {"r0", "v", "w", "no detected column"}
-    direct = tracking.lake_table_tracking("z.z", steps, files, found).collect()
+    direct = track("z.z").collect()
     assert {r.path for r in direct} == {"/s/insert_a"}
-    assert tracking.lake_table_tracking("q.q", steps, files, found).count() == 0
+    assert track("q.q").count() == 0
 
 
 def test_last_declaration_of_a_table_wins(spark):

@@ -214,3 +214,6 @@ SERVER_COLUMNS = [
     "username",
 ]
 EXTERNAL_PREFIX = "CDR."
+
+# Fixed value: a two-part table name in a typed-in question.
+REPORT_NAME = r"([a-z0-9_]+\.[a-z0-9_]+)"

@@ -7,6 +7,7 @@ never becomes one big list; every aggregate here combines partially before its s
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,6 @@ from wellspring.functions import text as X
 from wellspring.operators.joins import left_join
 from wellspring.session import materialize
 
-NAME_PATTERN = re.compile(r"([a-z0-9_]+\.[a-z0-9_]+)", re.IGNORECASE)
-
 
 def _filled(name: str) -> Column:
     """A cell, NULL when it is blank."""
@@ -30,6 +29,12 @@ def table_columns(report: DataFrame) -> list[str]:
     return lead + [c for c in report.columns if c.startswith(P.DEPENDENCY_PREFIX)]
 
 
+def rows_with(report: DataFrame, table: str) -> DataFrame:
+    """Rows that name ``table`` in any table column, whatever its casing."""
+    hits = [F.lower(F.col(c)) == table.lower() for c in table_columns(report)]
+    return report.where(reduce(Column.__or__, hits, F.lit(False)))
+
+
 def report_long(report: DataFrame, row_id: str = "row_id") -> DataFrame:
     """``row_id, col_name, table_name``: one row per table cell that is filled."""
     cells = table_columns(report)
@@ -53,12 +58,19 @@ def cooccurrence(report: DataFrame) -> DataFrame:
     )
 
 
-def original_names(report: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """``table, name``: the casing seen last for every lower-case name."""
+def _only(rows: DataFrame, name: Column, tables: DataFrame | None) -> DataFrame:
+    """Rows whose lower-case name is in ``tables`` (``table``), or all rows."""
+    return rows if tables is None else rows.join(tables, name == F.col("table"), "left_semi")
+
+
+def original_names(
+    report: DataFrame, row_id: str = "row_id", tables: DataFrame | None = None
+) -> DataFrame:
+    """``table, name``: the casing seen last for every lower-case name, or for those in ``tables``."""
     cells = table_columns(report)
     rank = F.element_at(F.create_map(*[F.lit(x) for n, c in enumerate(cells) for x in (c, n)]), F.col("col_name"))
     return (
-        report_long(report, row_id)
+        _only(report_long(report, row_id), F.lower("table_name"), tables)
         .groupBy(F.lower("table_name").alias("table"))
         .agg(F.max_by("table_name", F.struct(row_id, rank)).alias("name"))
     )
@@ -85,7 +97,7 @@ def server_metadata(report: DataFrame) -> DataFrame:
     return facts.select("table", "attribute", "value").distinct()
 
 
-def priorities(report: DataFrame) -> DataFrame:
+def priorities(report: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     """``table, priority, tag``: logical order and short origin of every table.
 
     1 warehouse, 2 lake, 3 dependency; a table with several origins gets the first that applies.
@@ -97,9 +109,10 @@ def priorities(report: DataFrame) -> DataFrame:
         .otherwise(4)
     )
     priority = F.col("priority")
+    known = origins(report)
+    known = known if tables is None else known.join(tables, "table", "left_semi")
     return (
-        origins(report)
-        .groupBy("table")
+        known.groupBy("table")
         .agg(F.min(rank).alias("priority"))
         .withColumn(
             "tag",
@@ -111,25 +124,40 @@ def priorities(report: DataFrame) -> DataFrame:
     )
 
 
-def table_nodes(report: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """``table, name, priority, tag``: every table with display name and logical order."""
-    return original_names(report, row_id).join(priorities(report), "table")
+def table_nodes(
+    report: DataFrame, row_id: str = "row_id", tables: DataFrame | None = None
+) -> DataFrame:
+    """``table, name, priority, tag``: every table, or those in ``tables``, with display name and
+    logical order."""
+    return original_names(report, row_id, tables).join(priorities(report, tables), "table")
+
+
+def _neighbours(edges: DataFrame, *sides: str) -> DataFrame:
+    """``table``: distinct names on the given sides of edges."""
+    return edges.select(F.explode(F.array(*sides)).alias("table")).distinct()
 
 
 def dependencies(report: DataFrame, row_id: str = "row_id", table: str | None = None) -> DataFrame:
-    """``table, dep, dep_name, priority, tag``: direct dependencies of all tables, or of one."""
-    edges = cooccurrence(report)
-    if table is not None:
-        edges = edges.where(F.col("src") == table.lower())
-    return _named(edges, table_nodes(report, row_id), "src", "dep")
+    """``table, dep, dep_name, priority, tag``: direct dependencies of all tables, or of one.
+
+    For one table only the rows that name it are stacked, and only its neighbours are named.
+    """
+    if table is None:
+        return _named(cooccurrence(report), table_nodes(report, row_id), "src", "dep")
+    edges = materialize(cooccurrence(rows_with(report, table)).where(F.col("src") == table.lower()))
+    return _named(edges, table_nodes(report, row_id, _neighbours(edges, "dep")), "src", "dep")
 
 
 def users(report: DataFrame, row_id: str = "row_id", table: str | None = None) -> DataFrame:
-    """``table, user, user_name, priority, tag``: tables that use a table."""
-    edges = cooccurrence(report)
-    if table is not None:
-        edges = edges.where(F.col("dep") == table.lower())
-    return _named(edges.withColumnRenamed("src", "user"), table_nodes(report, row_id), "dep", "user")
+    """``table, user, user_name, priority, tag``: tables that use a table; see ``dependencies``."""
+    if table is None:
+        edges, names = cooccurrence(report), None
+    else:
+        edges = materialize(cooccurrence(rows_with(report, table)).where(F.col("dep") == table.lower()))
+        names = _neighbours(edges, "src")
+    return _named(
+        edges.withColumnRenamed("src", "user"), table_nodes(report, row_id, names), "dep", "user"
+    )
 
 
 def _named(edges: DataFrame, nodes: DataFrame, of: str, other: str) -> DataFrame:
@@ -166,10 +194,16 @@ def degrees(report: DataFrame) -> DataFrame:
 def diagnostic(report: DataFrame, row_id: str = "row_id", table: str | None = None) -> DataFrame:
     """``table, section, item, tag``: origins, dependencies, users and metadata as one table.
 
-    Edges and nodes serve two sections each and are written once.
+    Edges and nodes serve two sections each and are written once. For one table only the rows
+    that name it are read beyond the names of its neighbours.
     """
-    edges = materialize(cooccurrence(report))
-    nodes = materialize(table_nodes(report, row_id))
+    own = report if table is None else rows_with(report, table)
+    edges = cooccurrence(own)
+    if table is not None:
+        edges = edges.where((F.col("src") == table.lower()) | (F.col("dep") == table.lower()))
+    edges = materialize(edges)
+    names = None if table is None else _neighbours(edges, "src", "dep")
+    nodes = materialize(table_nodes(report, row_id, names))
     blank = F.lit("").alias("tag")
 
     def section(rows: DataFrame, name: str, item: str, tag: Column | str) -> DataFrame:
@@ -177,11 +211,11 @@ def diagnostic(report: DataFrame, row_id: str = "row_id", table: str | None = No
 
     used = edges.withColumnRenamed("src", "user")
     rows = (
-        section(origins(report), "origin", "origin", blank)
+        section(origins(own), "origin", "origin", blank)
         .unionByName(section(_named(edges, nodes, "src", "dep"), "dependency", "dep_name", "tag"))
         .unionByName(section(_named(used, nodes, "dep", "user"), "user", "user_name", "tag"))
         .unionByName(
-            server_metadata(report).select(
+            server_metadata(own).select(
                 "table", F.col("attribute").alias("section"), F.col("value").alias("item"), blank
             )
         )
@@ -220,13 +254,13 @@ def external_totals(pairs: DataFrame) -> DataFrame:
 
 def parse_table_name(text: str) -> str | None:
     """The ``schema.table`` in typed-in text, lower case; None if there is none."""
-    found = NAME_PATTERN.search(text)
+    found = re.search(P.REPORT_NAME, text, re.IGNORECASE)
     return found.group(1).lower() if found else None
 
 
 def is_known(report: DataFrame, table: str) -> bool:
     """Does any report row name the table, whatever its casing?"""
-    return not origins(report).where(F.col("table") == table.lower()).isEmpty()
+    return not rows_with(report, table).isEmpty()
 
 
 def similar_tables(

@@ -97,33 +97,36 @@ def chain_lineage(steps: DataFrame, projections: DataFrame) -> DataFrame:
     return keyed.join(projections, keyed.script_path == projections.path).drop("script_path")
 
 
-def lake_table_tracking(
-    lake_table: str, steps: DataFrame, lake_files: DataFrame, projections: DataFrame
-) -> DataFrame:
-    """Field tracking for one lake table.
+def lake_table_paths(lake_table: str, steps: DataFrame, lake_files: DataFrame) -> DataFrame:
+    """``path, via, key``: scripts that may track a lake table: those of all chains that pass through
+    it (``chain``), and its own and those of its direct dependencies (``direct``).
 
-    The scripts of all chains that pass through the table count; when there is no such chain, the
-    scripts of the table and of its direct dependencies do. Only those scripts' projections are
-    read. ``lake_files`` is ``target, table, path`` of the dependency map.
+    ``lake_files`` is ``target, table, path`` of the dependency map.
     """
-    key = lake_table.upper()
-    through = steps.where(F.upper("table") == key).select("chain_id").distinct()
-    of_chains = (
-        steps.join(through, "chain_id", "left_semi").where(F.col("script_path").isNotNull())
-        .select(F.col("script_path").alias("path"))
-        .distinct()
+    name = lake_table.upper()
+    through = steps.where(F.upper("table") == name).select("chain_id", F.upper("table").alias("key"))
+    of_chains = steps.select("chain_id", F.col("script_path").alias("path")).join(
+        through.distinct(), "chain_id"
     )
-    direct = (
-        lake_files.where((F.upper("target") == key) & F.col("path").isNotNull())
-        .select("path")
-        .distinct()
+    direct = lake_files.where(F.upper("target") == name).select("path", F.upper("target").alias("key"))
+    rows = of_chains.select("path", F.lit("chain").alias("via"), "key").unionByName(
+        direct.select("path", F.lit("direct").alias("via"), "key")
+    )
+    return rows.where(F.col("path").isNotNull()).distinct()
+
+
+def lake_table_tracking(paths: DataFrame, projections: DataFrame) -> DataFrame:
+    """Field tracking for one lake table, from the scripts in ``paths``.
+
+    Scripts of chains count; only when they track nothing (tracking rows decide, not scripts: a
+    chain whose scripts have no SELECT falls back as well), the direct ones do.
+    """
+    tracked = track_columns(projections).join(paths, "path")
+    of_chains = tracked.where("via = 'chain'")
+    fallback = tracked.where("via = 'direct'").join(
+        of_chains.select("key").distinct(), "key", "left_anti"
     )
-    # Tracking rows decide, not scripts: a chain whose scripts have no SELECT falls back as well.
-    tracked = track_columns(projections)
-    found = tracked.join(of_chains, "path", "left_semi")
-    if found.isEmpty():
-        found = tracked.join(direct, "path", "left_semi")
-    return found.distinct()
+    return of_chains.unionByName(fallback).drop("via", "key").distinct()
 
 
 def warehouse_tracking(

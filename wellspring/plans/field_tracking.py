@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -13,14 +14,20 @@ from wellspring.session import materialize
 
 @dataclass
 class FieldLineage:
-    """Derived tables shared by the field-tracking jobs."""
+    """What the field-tracking jobs share. Chain steps are written once; so are the projections of
+    all scripts when a job asks for them, and one table's question reads its own scripts only."""
 
     lineage: TableLineage
-    projections: DataFrame
+    loaders: DataFrame
+    ddl: DataFrame
     steps: DataFrame
     lake_files: DataFrame
     script_io: DataFrame
 
+    @cached_property
+    def projections(self) -> DataFrame:
+        return materialize(projections.projections(self.loaders, self.ddl))
+
     def of_warehouse(
         self, catalog: DataFrame, dwh_tables: DataFrame | list[str] | None = None
     ) -> DataFrame:
@@ -31,9 +38,10 @@ class FieldLineage:
         )
 
     def of_lake_table(self, table: str) -> DataFrame:
-        return tracking.lake_table_tracking(
-            table, self.steps, self.lake_files, self.projections
-        )
+        paths = materialize(tracking.lake_table_paths(table, self.steps, self.lake_files))
+        own = self.loaders.join(paths.select("path").distinct(), "path", "left_semi")
+        found = materialize(projections.projections(own, self.ddl))
+        return tracking.lake_table_tracking(paths, found)
 
 
 def field_lineage(
@@ -43,15 +51,14 @@ def field_lineage(
     dwh_tables: DataFrame | list[str] | None = None,
     strip_comments: bool = True,
 ) -> FieldLineage:
-    """Projections and chain steps; both are read several times, so they are written once."""
     loaders = scripts.loader_scripts(script_files)
     targets = scripts.script_targets(loaders, strip_comments)
     table_scripts = materialize(deps.table_scripts(confs.dwh_lake(conf_files), targets))
-    ddl = scripts.ddl_catalog(script_files)
     return FieldLineage(
         lineage=lineage,
-        projections=materialize(projections.projections(loaders, ddl)),
-        steps=chains.chain_steps(lineage.warehouse_chains(dwh_tables), table_scripts),
+        loaders=loaders,
+        ddl=scripts.ddl_catalog(script_files),
+        steps=materialize(chains.chain_steps(lineage.warehouse_chains(dwh_tables), table_scripts)),
         lake_files=deps.lake_table_files(lineage.edges, lineage.attrs, table_scripts),
         script_io=scripts.script_io(loaders, strip_comments),
     )

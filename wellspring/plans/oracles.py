@@ -324,6 +324,27 @@ def warehouse(select: str, *more: str) -> str:
     return with_(*WAREHOUSE, *more, select=select, recursive=True)
 
 
+def lake_tracking(table: str) -> str:
+    """Scripts of all chains through the table; if there are none, its own and its dependencies'."""
+    return warehouse(
+        f"""SELECT DISTINCT tables AS "Tables utilisées", '' AS dwh_fields, "column" AS "Champ", alias AS "Alias", path AS "Chemin du fichier HQL", arithmetic_ops AS "Opérations arithmétiques", formula_sql AS "Formule SQL"
+          FROM tracked WHERE CASE WHEN EXISTS (SELECT 1 FROM tracked WHERE path IN (FROM through)) THEN path IN (FROM through) ELSE path IN (FROM direct) END""",
+        TABLE_SCRIPTS,
+        STEPS,
+        FLAT,
+        TRACKED,
+        cte("through", f"""SELECT script_path FROM steps WHERE chain_id IN (SELECT chain_id FROM steps WHERE "table" = '{table}')"""),
+        cte(
+            "direct",
+            f"""SELECT path FROM table_scripts WHERE "table" = '{table}' OR "table" IN (SELECT dep FROM edges WHERE target = '{table}')""",
+        ),
+    )
+
+
+DIAGNOSTIC = """SELECT DISTINCT t AS "table", 'origin' AS section, origin AS item, '' AS tag FROM cells
+           UNION ALL SELECT "table", 'dependency', dep_name, tag FROM deps UNION ALL SELECT "table", 'user', user_name, tag FROM users
+           UNION ALL SELECT DISTINCT t, attribute, value, '' FROM cells JOIN meta USING (row_id)"""
+
 ORACLES = {
     # sources and sinks
     "s07_report_csv": with_(*REPORT[:2], select=f"SELECT {', '.join(TEXT_COLUMNS)} FROM report"),
@@ -504,14 +525,8 @@ ORACLES = {
         STEPS,
         FLAT,
     ),
-    "l12_lake_table_tracking": warehouse(
-        """SELECT DISTINCT tables AS "Tables utilisées", '' AS dwh_fields, "column" AS "Champ", alias AS "Alias", path AS "Chemin du fichier HQL", arithmetic_ops AS "Opérations arithmétiques", formula_sql AS "Formule SQL"
-          FROM tracked WHERE path IN (SELECT script_path FROM steps WHERE chain_id IN (SELECT chain_id FROM steps WHERE "table" = 'AGG.SPARK_FT_1'))""",
-        TABLE_SCRIPTS,
-        STEPS,
-        FLAT,
-        TRACKED,
-    ),
+    "l12_lake_table_tracking": lake_tracking("AGG.SPARK_FT_1"),
+    "l12_fallback": lake_tracking("MON.SPARK_FT_35"),
     "l13_warehouse_tracking": with_(*DWH_TRACKING, select="SELECT * FROM tracking", recursive=True),
     "l15_staged_tracking_report": with_(
         *DWH_TRACKING,
@@ -535,11 +550,9 @@ ORACLES = {
     "r02_dependencies": report("SELECT * FROM deps"),
     "r03_users": report("SELECT * FROM users"),
     "r04_server_metadata": report('SELECT DISTINCT t AS "table", attribute, value FROM cells JOIN meta USING (row_id)'),
-    "r05_diagnostic": report(
-        """SELECT DISTINCT t AS "table", 'origin' AS section, origin AS item, '' AS tag FROM cells
-           UNION ALL SELECT "table", 'dependency', dep_name, tag FROM deps UNION ALL SELECT "table", 'user', user_name, tag FROM users
-           UNION ALL SELECT DISTINCT t, attribute, value, '' FROM cells JOIN meta USING (row_id)"""
-    ),
+    "r05_diagnostic": report(DIAGNOSTIC),
+    "r05_of_table": report(f"""SELECT * FROM ({DIAGNOSTIC}) WHERE "table" = 'cdr.tt_3'"""),
+    "r02_of_table": report("""SELECT * FROM deps WHERE "table" = 'agg.t_5'"""),
     "r06_similar_tables": report("""SELECT name, priority FROM names JOIN ranks USING ("table") WHERE contains("table", 'mon') ORDER BY priority, name LIMIT 5"""),
     "r07_degrees": report(
         """SELECT t AS "table", (SELECT count(*) FROM pairs WHERE src = t) AS nb_dependencies, (SELECT count(*) FROM pairs WHERE dep = t) AS nb_users

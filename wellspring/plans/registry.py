@@ -534,6 +534,12 @@ def _(i: Inputs) -> DataFrame:
     return tracking.tracking_report(i.field_lineage().of_lake_table("agg.spark_ft_1"))
 
 
+@query("l12_fallback")
+def _(i: Inputs) -> DataFrame:
+    """A lake table that no warehouse chain passes: its own scripts count."""
+    return tracking.tracking_report(i.field_lineage().of_lake_table("mon.spark_ft_35"))
+
+
 @query("l13_warehouse_tracking")
 def _(i: Inputs) -> DataFrame:
     rows = i.field_lineage().of_warehouse(i.fields)
@@ -585,16 +591,28 @@ def _(i: Inputs) -> DataFrame:
 
 @query("r02_dependencies")
 def _(i: Inputs) -> DataFrame:
-    rows = report.in_logical_order(report.dependencies(i.clean_report), "dep_name")
+    rows = report.dependencies(i.clean_report)
     return rows.withColumn("priority", F.col("priority").cast("long"))
 
 
 @query("r03_users")
 def _(i: Inputs) -> DataFrame:
-    rows = report.in_logical_order(report.users(i.clean_report), "user_name")
+    rows = report.users(i.clean_report)
+    return rows.withColumn("priority", F.col("priority").cast("long"))
+
+
+@query("r02_of_table")
+def _(i: Inputs) -> DataFrame:
+    rows = report.dependencies(i.clean_report, table="Agg.T_5")
+    rows = report.in_logical_order(rows, "dep_name")
     return rows.withColumn("priority", F.col("priority").cast("long"))
 
 
+@query("r05_of_table")
+def _(i: Inputs) -> DataFrame:
+    return report.diagnostic(i.clean_report, table="CDR.tt_3")
+
+
 @query("r04_server_metadata")
 def _(i: Inputs) -> DataFrame:
     return report.server_metadata(i.clean_report)
