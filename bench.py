@@ -24,12 +24,16 @@ HEADLINE = [
     "a01_table_deps",
     "a02_table_attrs",
     "g01_warehouse_chains",
+    "g05b_wide_lake_report",
     "g05c_lake_chains",
     "n08_process_groups",
     "n10_flow_matches",
+    "j04_chain_servers",
     "g04_server_report",
     "l01_projections",
     "l02_nested_projections",
+    "l10_chain_lineage",
+    "l12_lake_table_tracking",
     "l16_source_fields",
     "l13_warehouse_tracking",
     "g07_cooccurrence",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def work_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = _local_dir()
     return f"{base.rstrip('/')}/wellspring-{uuid.uuid4().hex}"
