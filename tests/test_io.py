@@ -143,3 +143,31 @@ def test_questions_on_one_table(demo):
 def test_report_round_trip(demo, spark, tmp_path):
     report_csv.write_report_csv(demo.drop("row_id"), str(tmp_path / "r"))
     assert report_csv.read_report(spark, str(tmp_path / "r")).count() == 4
+
+
+def test_report_from_folders(spark, tmp_path):
+    from wellspring import corpora
+    from wellspring.plans import table_lineage
+
+    sf = "/root/testdata/sf0.001"
+    load = lambda sql: corpora.load(spark, sf, sql).collect()
+    scripts, confs, exports = load(corpora.SCRIPTS), load(corpora.CONFS), load(corpora.FLOWS)
+    roots = {}
+    for name, rows in (("scripts", scripts), ("confs", confs)):
+        roots[name] = tmp_path / name
+        for row in rows:
+            path = roots[name] / row.path.lstrip("/")
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_text(row.content)
+    roots["flows"] = tmp_path / "flows"
+    roots["flows"].mkdir()
+    for row in exports:
+        (roots["flows"] / f"{row.flow_id}.json").write_text(row.json)
+    (roots["flows"] / "broken.json").write_text("{")
+    found = table_lineage.report_from_folders(
+        spark, str(roots["confs"]), str(roots["scripts"]), str(roots["flows"])
+    )
+    frames = [corpora.load(spark, sf, sql) for sql in (corpora.CONFS, corpora.SCRIPTS, corpora.FLOWS)]
+    want = table_lineage.server_report(*frames)
+    assert found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))

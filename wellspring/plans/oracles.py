@@ -348,6 +348,10 @@ DIAGNOSTIC = """SELECT DISTINCT t AS "table", 'origin' AS section, origin AS ite
 ORACLES = {
     # sources and sinks
     "s07_report_csv": with_(*REPORT[:2], select=f"SELECT {', '.join(TEXT_COLUMNS)} FROM report"),
+    **dict.fromkeys(
+        ["s01_files", "s02_latin1_files"],
+        with_(SCRIPTS, select=r"SELECT CAST(regexp_extract(path, '(\d+)\.hql$', 1) AS BIGINT) AS k, content || ' é' AS content FROM scripts"),
+    ),
     "s06_field_dictionary": with_(CATALOG, FIELDS, select=f"SELECT table_name, {ORDERED.format('fields')} AS fields FROM fields"),
     "s05_catalog_snapshot": with_(CATALOG, select="SELECT * FROM catalog_rows"),
     "k01_lineage_sink": with_(SCRIPTS, CLEAN, IO, select="SELECT DISTINCT target, nullif(array_to_string(list_sort(sources), ', '), '') AS sources FROM io"),

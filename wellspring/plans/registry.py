@@ -27,7 +27,7 @@ from wellspring.operators import (
 from wellspring.plans import field_tracking, table_lineage
 from wellspring.session import materialize, work_dir
 from wellspring.sources import catalog as catalog_sources
-from wellspring.sources import report_csv, sinks
+from wellspring.sources import corpus, report_csv, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,6 +112,29 @@ def _(i: Inputs) -> DataFrame:
     return report_csv.read_report(i.spark, path).drop("row_id")
 
 
+def _written_out(i: Inputs, charset: str) -> DataFrame:
+    """The scripts as files, one each, read back with ``charset``."""
+    root = work_dir(i.spark)
+    text = F.encode(F.concat("content", F.lit(" é")), charset).cast("string")
+    number = F.regexp_extract("path", r"(\d+)\.hql$", 1).alias("k")
+    i.scripts.select(number, text.alias("value")).write.partitionBy("k").text(root)
+    files = corpus.read_files(i.spark, root, charset, glob="part-*")
+    return files.select(
+        F.regexp_extract("path", r"/k=(\d+)/", 1).cast("long").alias("k"),
+        F.regexp_replace("content", r"\n$", "").alias("content"),
+    )
+
+
+@query("s01_files")
+def _(i: Inputs) -> DataFrame:
+    return _written_out(i, "UTF-8")
+
+
+@query("s02_latin1_files")
+def _(i: Inputs) -> DataFrame:
+    return _written_out(i, "ISO-8859-1")
+
+
 @query("s06_field_dictionary")
 def _(i: Inputs) -> DataFrame:
     path = work_dir(i.spark)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.operators import chains, confs, deps, flows, match, scripts
 from wellspring.session import materialize
+from wellspring.sources.corpus import read_files, read_flow_exports
 
 
 @dataclass
@@ -72,3 +73,22 @@ def server_report(
     return match.server_report(
         lineage.warehouse_chains(tables), lineage.attrs, flow_matches(lineage, flow_files)
     )
+
+
+def report_from_folders(
+    spark: SparkSession,
+    conf_root: str,
+    scripts_root: str,
+    flows_root: str,
+    tables: DataFrame | list[str] | None = None,
+    charset: str = "UTF-8",
+) -> DataFrame:
+    """The wide server report of the files below three folders. Confs name scripts by their paths
+    below ``scripts_root``."""
+    return server_report(
+        read_files(spark, conf_root, charset),
+        read_files(spark, scripts_root, charset),
+        read_flow_exports(spark, flows_root),
+        tables,
+        scripts_root,
+    )
