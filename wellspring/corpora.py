@@ -103,6 +103,14 @@ from (select p_partkey as k, cast(p_partkey as string) as s from part) x
 """
 
 
+# bare columns in a sub-query: only a table's DDL says whose they are; block comments, empty trims
+BARE_SCRIPTS = """
+select concat('/PROD/SCRIPTS/compute_bare_', s, '.hql') as path,
+ concat('/* FROM old.', s, chr(10), ' */ INSERT INTO MON.B_', s, ' SELECT a.x, (SELECT MAX(id + qq) FROM cdr.tt_', s, ') m, COUNT(*) n', case when k % 2 = 0 then ', TRIM() AS t' else '' end, ' FROM s.t_', s, ' a') as content
+from (select p_partkey as k, cast(p_partkey as string) as s from part) x
+"""
+
+
 def load(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A corpus as a DataFrame; the tables are read under names of their own."""
     source = re.compile(r"\bfrom (part|supplier|orders)\b")

@@ -506,6 +506,22 @@ ORACLES = {
         select="""SELECT path AS "Nom du Fichier", alias AS "Alias/Projection", array_to_string(used, ', ') AS "Colonnes détectées", agg, ops AS "Opérations arithmétiques",
           formula AS "Formule SQL", array_to_string(tables, ', ') AS "Tables utilisées" FROM flat""",
     ),
+    "l09_ddl_columns": with_(
+        DDL,
+        cte("bare", corpora.BARE_SCRIPTS),
+        cte("owned", r"SELECT DISTINCT regexp_extract(content, 'TABLE CDR\.TT_(\d+) \(', 1) AS k, list_transform(str_split(regexp_extract(content, '\((.*?)\)', 1), ', '), lambda x: upper(split_part(x, ' ', 1))) AS fields FROM ddl WHERE content LIKE '%TABLE CDR.TT_%'"),
+        cte("inner_query", r"SELECT path, content, regexp_extract(content, 'cdr\.tt_\d+') AS t, ['id', 'qq'] AS bare FROM bare"),
+        cte(
+            "used",
+            """SELECT path, content, t, bare, array_to_string(list_transform(bare, lambda c: CASE WHEN list_contains(coalesce(fields, []), upper(c)) THEN upper(c) ELSE c END), ',') AS columns_used
+               FROM inner_query LEFT JOIN owned ON t = 'cdr.tt_' || k""",
+        ),
+        select="""SELECT path, alias, unnest(bare) AS "column", formula_sql, columns_used FROM used,
+                    LATERAL (SELECT 'NO_ALIAS' AS alias, 'MAX ( id + qq )' AS formula_sql UNION ALL SELECT 'm', '( SELECT MAX ( id + qq ) FROM ' || t || ' )') v
+                  UNION ALL SELECT path, 'x', 'x', 'a.x', 'x' FROM bare
+                  UNION ALL SELECT path, 'n', 'no detected column', 'COUNT ( * )', '' FROM bare
+                  UNION ALL SELECT path, 't', 'no detected column', chr(39) || chr(39), '' FROM bare WHERE content LIKE '%TRIM()%'""",
+    ),
     "a15_tables_used": with_(*FLAT_SCRIPTS, select="SELECT DISTINCT upper(array_to_string(tables, ', ')) AS tables FROM flat"),
     "l16_source_fields": with_(
         SCRIPTS,

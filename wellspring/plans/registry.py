@@ -523,6 +523,16 @@ def _(i: Inputs) -> DataFrame:
     return projections.script_report(projections.projections(i.scripts, i.ddl.transform(scripts.ddl_profile)))
 
 
+@query("l09_ddl_columns")
+def _(i: Inputs) -> DataFrame:
+    rows = projections.projections(i.bare_scripts, scripts.ddl_profile(i.ddl))
+    tracked = tracking.track_columns(rows)
+    return tracked.select("path", "alias", "column", "formula_sql").join(
+        rows.select("path", "alias", "formula_sql", ordered("columns_used").alias("columns_used")),
+        ["path", "alias", "formula_sql"],
+    )
+
+
 @query("a15_tables_used")
 def _(i: Inputs) -> DataFrame:
     return projections.tables_used(projections.projections(i.scripts))
