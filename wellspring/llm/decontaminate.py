@@ -88,7 +88,8 @@ def prefix_tokens(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE
 def candidates(
     docs: DataFrame, tokens: DataFrame, sizes: list[int], window: int = WINDOW
 ) -> DataFrame:
-    """``doc_id, found``: for each document the items that may lie in it, and where they begin."""
+    """Distinct ``doc_id, item_no, begin``: items that may lie in a document, beginning at that word
+    (below 0 if the document has only a later part)."""
     own = docs.select("doc_id", words(F.col("text")).alias("words"))
     sets = F.array(
         *[F.struct(F.lit(k).alias("size"), _shingles("words", k).alias("hashes")) for k in sizes]

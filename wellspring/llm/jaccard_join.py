@@ -11,9 +11,12 @@ in bands of smaller sets that it can be similar to.
 
 Large groups are never expanded into pairs. In each bucket of equal signatures all members are
 verified against one hub, the member that shares most signatures with others, so a group of near
-copies becomes a star. Only members that are not connected to their hub's group after that are
-paired with the other members of the bucket, unless the triangle inequality of Jaccard distances
-rules the pair out. Every surviving pair is verified on the words themselves.
+copies becomes a star. What is left are members that are not connected to their hub's group. All
+sets of a hub are known by the tokens in which they differ from it, and two sets differ in exactly
+the tokens that only one of these differences has. An outsider differs from its hub in more than
+``H`` tokens, so to be similar to another member their differences must overlap: a prefix-filtered
+join of the differences, rarest tokens first, finds these pairs. Every link is verified on the
+words themselves.
 
 Equal sets are one class (128-bit fingerprints); only classes are joined.
 
@@ -26,6 +29,7 @@ gives an empty table; other columns are ignored (kept by ``keep_one``).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -184,7 +188,7 @@ def signatures(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(signature, doc, meta)`` of all segments of all sets, band by band."""
     bands = Bands(similarity)
-    low, segments = bands.arrays(int(sizes.max(initial=0)))
+    low, segments = bands.arrays(int(sizes.max(initial=1)))
     own = np.searchsorted(low, sizes, side="right") - 1
     least = -(-sizes * bands.num // bands.den)  # size of the smallest similar set
     down, place, mark = 0, mix(token, 5) >> _U(32), mix(token, 6)
@@ -192,9 +196,10 @@ def signatures(
         band = own - down
         here = (sizes > 0) & (band >= 0)
         band = np.where(here, band, 0)
-        here &= (low[band + 1] - 1 >= least) & (segments[band] > 1)
-        if not here.any() and down > 0 and not ((sizes > 0) & (own - down >= 0) & (low[band + 1] - 1 >= least)).any():
+        here &= low[band + 1] - 1 >= least
+        if not here.any():
             return
+        here &= segments[band] > 1  # else only equal sets are similar
         pick = here[doc]
         d, h, p = doc[pick], mark[pick], place[pick]
         if len(d):
@@ -255,8 +260,9 @@ def signature_rows(docs: DataFrame, shingle: int, similarity: tuple[int, int]) -
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
     """Rows whose signature two classes have, one of them in its own band, one with the whole
-    segment. One exchange serves the counts and the rows; hot signatures stream through it."""
-    dealt = rows.repartition("sig")
+    segment. Rows are written once, so that one exchange serves the counts and the rows; hot
+    signatures stream through it."""
+    dealt = materialize(rows).repartition("sig")
     meta = F.col("meta")
     useful = dealt.groupBy("sig").agg(
         F.min("cls").alias("least"),
@@ -310,84 +316,115 @@ def allocate(shared: DataFrame, bands: Bands) -> DataFrame:
     return rows.select("sig", "cls", "n", "freq", "whole", "own", asks.alias("asks"))
 
 
-def hub_pairs(rows: DataFrame, similar_sizes) -> tuple[DataFrame, DataFrame]:
-    """``rows`` with the ``hub`` of their bucket, and distinct ``a, b``: hubs with members."""
+def hub_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct ``a, b``: the hub of every bucket that a set asks for, with all its members."""
     support = rows.groupBy("cls").agg(F.sum(F.when(F.col("whole"), F.col("freq")).otherwise(0)).alias("support"))
     ranked = rows.join(support, "cls")
     rank = F.struct("whole", "support", "cls")
     hubs = ranked.groupBy("sig").agg(
-        F.max_by(F.struct("cls", "n"), rank).alias("hub"),
+        F.max_by("cls", rank).alias("hub"),
         F.bool_or("asks").alias("asked"),
         F.bool_or("own").alias("owned"),
     )
-    hubs = hubs.where("asked AND owned AND hub IS NOT NULL").select(
-        "sig", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n")
-    )
-    rows = materialize(rows.join(hubs, "sig"))
-    pairs = rows.where((F.col("cls") != F.col("hub")) & similar_sizes(F.col("n"), F.col("hub_n")))
-    return rows, pairs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+    hubs = hubs.where("asked AND owned").select("sig", "hub")
+    pairs = rows.select("sig", "cls").join(hubs, "sig").where("cls != hub")
+    return materialize(pairs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct())
 
 
-def other_pairs(
-    rows: DataFrame, verified: DataFrame, roots: DataFrame, similar_sizes, similarity: tuple[int, int]
-) -> DataFrame:
-    """``a, b``: pairs of a bucket that are in different groups so far and may yet be similar."""
+def outsider_pairs(verified: DataFrame, roots: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``a, b``: pairs of one hub's members, in different groups so far, whose differences from the
+    hub show them to be similar. ``verified`` has the star pairs with ``diff`` and ``n_b``."""
     num, den = similarity
-    apart = verified.select(
-        F.col("a").alias("hub"), F.col("b").alias("cls"), (1 - F.col("common") / F.col("total")).alias("d")
-    )
     hub_root = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
-    rows = rows.where(F.col("cls") != F.col("hub"))
-    rows = rows.join(roots.withColumnRenamed("id", "cls"), "cls", "left").join(hub_root, "hub", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "cls")).withColumn("hub_root", F.coalesce("hub_root", "hub"))
-    # only buckets that have a member outside the hub's group matter
-    mixed = rows.where("root != hub_root").select("sig").distinct()
-    rows = rows.join(mixed, "sig", "left_semi").join(apart, ["hub", "cls"], "left")
-    rows = materialize(rows.select("sig", "cls", "n", "whole", "own", "asks", "root", "hub_root", "d"))
-    left = rows.where("root != hub_root").select(*[F.col(c).alias(f"x_{c}") for c in rows.columns])
-    pairs = left.join(rows, F.col("sig") == F.col("x_sig")).where(
+    members = verified.select(F.col("a").alias("hub"), F.col("b").alias("cls"), F.col("n_b").alias("n"), "diff")
+    members = members.join(roots.withColumnRenamed("id", "cls"), "cls", "left").join(hub_root, "hub", "left")
+    members = members.withColumn("root", F.coalesce("root", "cls"))
+    members = members.withColumn("out", F.col("root") != F.coalesce("hub_root", "hub"))
+    size = F.size("diff")
+    least = members.groupBy("hub").agg(
+        F.min(size).alias("least"), F.min(F.when(F.col("out"), size)).alias("least_out")
+    )
+    least = least.where("least_out IS NOT NULL")
+    # most tokens in which a set can differ from a similar one
+    most = F.floor((F.col("n") + F.floor(F.col("n") * den / num)) * (den - num) / (den + num))
+    partner = F.greatest(F.when(F.col("out"), F.col("least")).otherwise(F.col("least_out")), size - most)
+    overlap = F.greatest(F.lit(1), F.ceil((size + partner - most) / 2))
+    members = materialize(
+        members.join(least, "hub").select(
+            "hub", "cls", "n", "root", "out", "diff", F.greatest(size - overlap + 1, F.lit(0)).alias("prefix")
+        )
+    )
+    tokens = members.select("hub", "cls", F.explode_outer("diff").alias("token"))
+    tokens = tokens.where("token IS NOT NULL")
+    freq = tokens.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("freq"))
+    ranked = tokens.join(freq.where("freq > 1"), ["hub", "token"], "left")
+    # the differences of one set: no more than its words and the hub's
+    ranked = ranked.groupBy("hub", "cls").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("freq", F.lit(1)).alias("freq"), "token"))).alias("ranked")
+    )
+    prefixes = members.drop("diff").join(ranked, ["hub", "cls"])
+    first = F.slice("ranked", F.lit(1), F.col("prefix").cast("int"))
+    prefixes = prefixes.withColumn("first", F.filter(first, lambda t: t["freq"] > 1))
+    prefixes = materialize(
+        prefixes.select("hub", "cls", "n", "root", "out", F.explode_outer("first.token").alias("token"))
+        .where("token IS NOT NULL")
+    )
+    left = prefixes.where("out").select(*[F.col(c).alias(f"x_{c}") for c in prefixes.columns])
+    near = left.join(
+        prefixes, (F.col("hub") == F.col("x_hub")) & (F.col("token") == F.col("x_token"))
+    ).where(
         (F.col("root") != F.col("x_root"))
-        & (F.col("asks") | F.col("x_asks"))
-        & (F.col("whole") | F.col("x_whole"))
-        & (F.col("own") | F.col("x_own"))
-        & similar_sizes(F.col("n"), F.col("x_n"))
-        & F.coalesce(F.abs(F.col("d") - F.col("x_d")) <= 1 - num / den + 1e-9, F.lit(True))
+        & (F.least("n", "x_n") * den >= F.greatest("n", "x_n") * num)
+        & (~F.col("out") | (F.col("cls") < F.col("x_cls")))
+    )
+    near = near.select("hub", "cls", "x_cls").distinct()
+    diffs = members.select("hub", "cls", "n", "diff")
+    both = near.join(diffs, ["hub", "cls"]).join(
+        diffs.select("hub", *[F.col(c).alias(f"x_{c}") for c in ("cls", "n", "diff")]), ["hub", "x_cls"]
     )
-    return pairs.select(F.greatest("cls", "x_cls").alias("a"), F.least("cls", "x_cls").alias("b")).distinct()
+    apart = size + F.size("x_diff") - 2 * F.size(F.array_intersect("diff", "x_diff"))
+    total = F.col("n") + F.col("x_n")
+    both = both.where((total - apart) * den >= (total + apart) * num)
+    return materialize(both.select(F.greatest("cls", "x_cls").alias("a"), F.least("cls", "x_cls").alias("b")).distinct())
 
 
-def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int) -> DataFrame:
-    """``a, b, common, total``: sizes of intersection and union of the word shingles of classes."""
-    pairs = materialize(pairs)
-    texts = class_texts(docs, sets, pairs, shingle)
+def verify(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """``a, b, common, total, n_b, diff`` of pairs of classes, from their words: sizes of the
+    intersection and the union of their shingles and of ``b``, and hashes of the shingles that
+    only one of them has."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "common", "total")])
+    # texts grow with the input, so they are merged with the pairs at every size
+    both = pairs.hint("merge").join(right, "b").hint("merge").join(left, "a")
+    both = both.select("a", "b", "text_a", "text_b")
+    schema = pa.schema(
+        [(c, pa.int64()) for c in ("a", "b", "common", "total", "n_b")] + [("diff", pa.list_(pa.int64()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, set()
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            common, total = [], []
-            for key, one, two in zip(a, batch.column(2), batch.column(3)):
-                if key != last:
-                    last, kept = key, word_shingles(one.as_py(), shingle)
+            rows = []
+            for a, b, one, two in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if a != last:
+                    last, kept = a, word_shingles(one.as_py(), shingle)
                 other = word_shingles(two.as_py(), shingle)
                 same = len(kept & other)
-                common.append(same)
-                total.append(len(kept) + len(other) - same)
-            columns = [a, b, common, total]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+                apart = b"".join([blake2b(b" ".join(t), digest_size=8).digest() for t in kept ^ other])
+                rows.append((a, b, same, len(kept) + len(other) - same, len(other), np.frombuffer(apart, np.int64)))
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else []
+            if rows:
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return materialize(both.mapInArrow(run, "a long, b long, common long, total long"))
+    result = both.mapInArrow(run, "a long, b long, common long, total long, n_b long, diff array<long>")
+    return materialize(result)
 
 
-def class_texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """``cls, text`` of one document of each class in ``pairs``."""
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
-    one = materialize(sets.join(wanted.distinct(), "cls").groupBy("cls").agg(F.min("rid").alias("rid")))
-    texts = docs.select("rid", F.col("text").cast("binary").alias("text")).join(one, "rid")
+def class_texts(docs: DataFrame, sets: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """``cls, text`` of one document of each class in ``classes``, written once."""
+    one = sets.join(classes.distinct(), "cls").groupBy("cls").agg(F.min("rid").alias("rid"))
+    texts = docs.select("rid", F.col("text").cast("binary").alias("text"))
+    texts = texts.join(materialize(one).hint("merge"), "rid")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,7 +435,7 @@ def class_texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int
                     raise ValueError("the documents come in another order when they are read again")
             yield batch
 
-    return texts.select("cls", "text").mapInArrow(check, "cls long, text binary")
+    return materialize(texts.select("cls", "text").mapInArrow(check, "cls long, text binary"))
 
 
 def word_shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
@@ -422,20 +459,19 @@ def grouped(
     if not clash.where("x != y").isEmpty():
         raise ValueError("two different sets have one fingerprint")
     bands = Bands(similarity)
-    bands.extend(sets.agg(F.max("n")).first()[0] or 0)
-
-    def similar_sizes(x, y):
-        return F.least(x, y) * den >= F.greatest(x, y) * num
+    bands.extend(max(1, sets.agg(F.max("n")).first()[0] or 0))
 
     shared = shared_signatures(signature_rows(docs, shingle, similarity))
-    rows, pairs = hub_pairs(allocate(shared, bands), similar_sizes)
-    verified = verify(pairs, docs, sets, shingle)
-    links = verified.where(F.col("common") * den >= F.col("total") * num).select("a", "b")
+    pairs = hub_pairs(allocate(shared, bands))
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+    texts = class_texts(docs, sets, classes, shingle)
+    verified = verify(pairs, texts, shingle)
+    similar = F.col("common") * den >= F.col("total") * num
+    links = verified.where(similar).select("a", "b")
     roots = materialize(connected(links))
-    more = verify(other_pairs(rows, verified, roots, similar_sizes, similarity), docs, sets, shingle)
-    found = more.where(F.col("common") * den >= F.col("total") * num).select("a", "b")
+    found = verify(outsider_pairs(verified, roots, similarity), texts, shingle).where(similar)
     if not found.isEmpty():
-        roots = materialize(connected(links.unionByName(found)))
+        roots = materialize(connected(links.unionByName(found.select("a", "b"))))
     return sets, roots
 
 

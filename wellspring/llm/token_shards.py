@@ -151,31 +151,30 @@ def write_shards(
 def read_shards(
     spark: SparkSession, path: str, stride: int = STRIDE, shard_rows: int = SHARD_ROWS
 ) -> DataFrame:
-    """``slot, shard, row, doc_id, part, n_tokens, ids`` of all records below ``path``."""
+    """``slot, shard, row, doc_id, part, n_tokens, ids`` of all records below ``path``. A task holds
+    one shard at a time and hands out its records in slices."""
     size = record_bytes(stride)
+    schema = pa.schema(
+        [(c, pa.int64()) for c in ("slot", "shard", "row", "doc_id", "part", "n_tokens")] + [("ids", pa.binary())]
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                records = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, size)
+                for at in range(0, len(records), 10_000):
+                    part = records[at : at + 10_000]
+                    number = lambda lo, hi, kind: np.ascontiguousarray(part[:, lo:hi]).view(kind)[:, 0].astype(np.int64)  # noqa: B023, E731
+                    doc, n = number(0, 8, ">i8"), number(12, 16, ">u4")
+                    row = np.arange(at, at + len(part))
+                    ids = [r[HEADER : HEADER + 2 * k].tobytes() for r, k in zip(part, n)]
+                    columns = [shard * shard_rows + row, np.full(len(part), shard), row]
+                    arrays = [pa.array(c, pa.int64()) for c in columns]
+                    arrays += [pa.array(doc, pa.int64(), mask=doc == NULL_ID), pa.array(number(8, 12, ">u4")), pa.array(n), pa.array(ids, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     shard = F.regexp_extract("path", r"shard=(\d+)", 1).cast("long")
-    rows = files.select(
-        shard.alias("shard"),
-        F.posexplode_outer(
-            F.expr(
-                f"transform(sequence(0L, CAST(length DIV {size} AS LONG) - 1), "
-                f"i -> substring(content, CAST(i * {size} + 1 AS INT), {size}))"
-            )
-        ).alias("row", "record"),
-    ).where(F.col("record").isNotNull())
-
-    def number(at: int, length: int):
-        return F.conv(F.hex(F.substring("record", at, length)), 16, -10).cast("long")
-
-    doc_id = number(1, 8)
-    n_tokens = number(13, 4)
-    return rows.select(
-        (F.col("shard") * shard_rows + F.col("row")).alias("slot"),
-        "shard",
-        F.col("row").cast("long").alias("row"),
-        F.when(doc_id != NULL_ID, doc_id).alias("doc_id"),
-        number(9, 4).alias("part"),
-        n_tokens.alias("n_tokens"),
-        F.expr(f"substring(record, {HEADER + 1}, 2 * CAST(conv(hex(substring(record, 13, 4)), 16, 10) AS INT))").alias("ids"),
+    return files.select(shard.alias("shard"), "content").mapInArrow(
+        cut, "slot long, shard long, row long, doc_id long, part long, n_tokens long, ids binary"
     )
