@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm.bpe import encoder
-from wellspring.session import work_dir
+from wellspring.session import materialize, work_dir
 
 STRIDE = 256
 #: Records in a shard: 32 MB at the stride above.
@@ -96,26 +96,29 @@ def token_sequences(
 
 
 def assign_slots(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """``sequences``, stored once, with their ``slot``; and how many there are."""
-    spark = sequences.sparkSession
+    """``sequences`` with their ``slot``, and how many there are.
+
+    Sequences are computed twice, once to count them by task and once to write them: encoding again
+    takes less than a stored copy of all ids takes disk. They must come in the same order
+    both times, as those of a table scan do.
+    """
     place = F.monotonically_increasing_id()
-    path = work_dir(spark)
-    kept = sequences.withColumns(
+    rows = sequences.withColumns(
         {"block": F.shiftright(place, 33), "row": place.bitwiseAND((1 << 33) - 1)}
     )
-    kept.write.option("compression", "zstd").parquet(path)
-    stored = spark.read.schema(kept.schema).parquet(path)
-    counts = stored.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")))
     ahead = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # one row a task of the write above
-    starts = counts.select("block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
-    n = stored.count()
+    # one row a task of the scan
+    starts = materialize(
+        counts.select("block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+    )
+    n = counts.agg(F.sum("n")).first()[0] or 0
 
     @F.pandas_udf("long")
     def permuted(numbers: pd.Series) -> pd.Series:
         return pd.Series(feistel(numbers.to_numpy(), n, key))
 
-    placed = stored.join(starts, "block").withColumn("slot", permuted(F.col("start") + F.col("row")))
+    placed = rows.join(starts, "block").withColumn("slot", permuted(F.col("start") + F.col("row")))
     return placed.drop("block", "row", "start"), n
 
 
