@@ -331,67 +331,93 @@ def hub_pairs(rows: DataFrame) -> DataFrame:
     return materialize(pairs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct())
 
 
-def outsider_pairs(verified: DataFrame, roots: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``a, b``: pairs of one hub's members, in different groups so far, whose differences from the
-    hub show them to be similar. ``verified`` has the star pairs with ``diff`` and ``n_b``."""
+def _most(n, similarity: tuple[int, int]):
+    """Most tokens in which similar sets of ``n`` tokens together can differ."""
+    num, den = similarity
+    return F.floor(n * (den - num) / (den + num))
+
+
+def unsettled(verified: DataFrame, roots: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``hub, cls, n, root, out, size, overlap``: members that may be similar to an outsider of
+    their hub (``out``: not in the hub's group), going by ``size``, the number of tokens in which they
+    differ from the hub. Similar sets have sizes no further apart than they differ themselves.
+    ``overlap`` is the least number of tokens that the differences of such a pair have in common.
+    """
     num, den = similarity
     hub_root = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
-    members = verified.select(F.col("a").alias("hub"), F.col("b").alias("cls"), F.col("n_b").alias("n"), "diff")
+    members = verified.select(
+        F.col("a").alias("hub"),
+        F.col("b").alias("cls"),
+        F.col("n_b").alias("n"),
+        (F.col("total") - F.col("common")).alias("size"),
+    )
     members = members.join(roots.withColumnRenamed("id", "cls"), "cls", "left").join(hub_root, "hub", "left")
     members = members.withColumn("root", F.coalesce("root", "cls"))
     members = members.withColumn("out", F.col("root") != F.coalesce("hub_root", "hub"))
-    size = F.size("diff")
-    least = members.groupBy("hub").agg(
-        F.min(size).alias("least"), F.min(F.when(F.col("out"), size)).alias("least_out")
-    )
-    least = least.where("least_out IS NOT NULL")
-    # most tokens in which a set can differ from a similar one
-    most = F.floor((F.col("n") + F.floor(F.col("n") * den / num)) * (den - num) / (den + num))
-    partner = F.greatest(F.when(F.col("out"), F.col("least")).otherwise(F.col("least_out")), size - most)
-    overlap = F.greatest(F.lit(1), F.ceil((size + partner - most) / 2))
-    members = materialize(
-        members.join(least, "hub").select(
-            "hub", "cls", "n", "root", "out", "diff", F.greatest(size - overlap + 1, F.lit(0)).alias("prefix")
-        )
-    )
-    tokens = members.select("hub", "cls", F.explode_outer("diff").alias("token"))
+    most = _most(F.col("n") + F.floor(F.col("n") * den / num), similarity)
+    size, outside = F.col("size"), F.when(F.col("out"), F.col("size"))
+    order = Window.partitionBy("hub").orderBy("size", "cls")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = order.rowsBetween(1, Window.unboundedFollowing)
+    # the nearest member an outsider could pair with, the nearest outsider any other member could
+    below = F.when(F.col("out"), F.lag("size").over(order)).otherwise(F.max(outside).over(before))
+    above = F.when(F.col("out"), F.lead("size").over(order)).otherwise(F.min(outside).over(after))
+    members = members.withColumns({"below": below, "above": above, "most": most})
+    near = (size - F.col("below") <= F.col("most")) | (F.col("above") - size <= F.col("most"))
+    members = members.where(F.coalesce(near, F.lit(False)))
+    least = F.min(size).over(Window.partitionBy("hub"))
+    least_out = F.min(outside).over(Window.partitionBy("hub"))
+    partner = F.greatest(F.when(F.col("out"), least).otherwise(least_out), size - F.col("most"))
+    overlap = F.greatest(F.lit(1), F.ceil((size + partner - F.col("most")) / 2))
+    return members.select("hub", "cls", "n", "root", "out", "size", overlap.alias("overlap"))
+
+
+def outsider_pairs(
+    members: DataFrame, differences: DataFrame, similarity: tuple[int, int]
+) -> DataFrame:
+    """``a, b``: pairs of ``members`` of one hub, in different groups so far, whose ``differences``
+    from the hub (``a, b, diff``) show them to be similar."""
+    num, den = similarity
+    diffs = differences.select(F.col("a").alias("hub"), F.col("b").alias("cls"), "diff")
+    tokens = diffs.select("hub", "cls", F.explode_outer("diff").alias("token"))
     tokens = tokens.where("token IS NOT NULL")
     freq = tokens.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("freq"))
-    ranked = tokens.join(freq.where("freq > 1"), ["hub", "token"], "left")
     # the differences of one set: no more than its words and the hub's
-    ranked = ranked.groupBy("hub", "cls").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("freq", F.lit(1)).alias("freq"), "token"))).alias("ranked")
+    ranked = tokens.join(freq, ["hub", "token"]).groupBy("hub", "cls").agg(
+        F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("ranked")
     )
-    prefixes = members.drop("diff").join(ranked, ["hub", "cls"])
-    first = F.slice("ranked", F.lit(1), F.col("prefix").cast("int"))
-    prefixes = prefixes.withColumn("first", F.filter(first, lambda t: t["freq"] > 1))
-    prefixes = materialize(
-        prefixes.select("hub", "cls", "n", "root", "out", F.explode_outer("first.token").alias("token"))
-        .where("token IS NOT NULL")
+    prefix = F.slice("ranked", F.lit(1), F.greatest(F.col("size") - F.col("overlap") + 1, F.lit(0)).cast("int"))
+    prefixes = members.join(ranked, ["hub", "cls"]).select(
+        "hub", "cls", "n", "root", "out", "size", F.posexplode_outer(prefix).alias("pos", "t")
     )
+    prefixes = prefixes.where("t.freq > 1").withColumn("token", F.col("t.token")).drop("t")
+    prefixes = materialize(prefixes)
     left = prefixes.where("out").select(*[F.col(c).alias(f"x_{c}") for c in prefixes.columns])
+    # if this is the first token that both have, so many are still to come
+    rest = 1 + F.least(F.col("size") - F.col("pos"), F.col("x_size") - F.col("x_pos")) - 1
+    need = (F.col("size") + F.col("x_size") - _most(F.col("n") + F.col("x_n"), similarity)) / 2
     near = left.join(
         prefixes, (F.col("hub") == F.col("x_hub")) & (F.col("token") == F.col("x_token"))
     ).where(
         (F.col("root") != F.col("x_root"))
         & (F.least("n", "x_n") * den >= F.greatest("n", "x_n") * num)
         & (~F.col("out") | (F.col("cls") < F.col("x_cls")))
+        & (rest >= need)
     )
-    near = near.select("hub", "cls", "x_cls").distinct()
-    diffs = members.select("hub", "cls", "n", "diff")
+    near = near.select("hub", "cls", "n", "x_cls", "x_n").distinct()
     both = near.join(diffs, ["hub", "cls"]).join(
-        diffs.select("hub", *[F.col(c).alias(f"x_{c}") for c in ("cls", "n", "diff")]), ["hub", "x_cls"]
+        diffs.select("hub", F.col("cls").alias("x_cls"), F.col("diff").alias("x_diff")), ["hub", "x_cls"]
     )
-    apart = size + F.size("x_diff") - 2 * F.size(F.array_intersect("diff", "x_diff"))
+    apart = F.size("diff") + F.size("x_diff") - 2 * F.size(F.array_intersect("diff", "x_diff"))
     total = F.col("n") + F.col("x_n")
     both = both.where((total - apart) * den >= (total + apart) * num)
     return materialize(both.select(F.greatest("cls", "x_cls").alias("a"), F.least("cls", "x_cls").alias("b")).distinct())
 
 
-def verify(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """``a, b, common, total, n_b, diff`` of pairs of classes, from their words: sizes of the
-    intersection and the union of their shingles and of ``b``, and hashes of the shingles that
-    only one of them has."""
+def verify(pairs: DataFrame, texts: DataFrame, shingle: int, diff: bool = False) -> DataFrame:
+    """``a, b, common, total, n_b`` of pairs of classes, from their words: sizes of the
+    intersection and the union of their shingles and of ``b``; with ``diff`` also hashes of the
+    shingles that only one of them has."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
     # texts grow with the input, so they are merged with the pairs at every size
@@ -410,7 +436,8 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
                     last, kept = a, word_shingles(one.as_py(), shingle)
                 other = word_shingles(two.as_py(), shingle)
                 same = len(kept & other)
-                apart = b"".join([blake2b(b" ".join(t), digest_size=8).digest() for t in kept ^ other])
+                odd = kept ^ other if diff else ()
+                apart = b"".join([blake2b(b" ".join(t), digest_size=8).digest() for t in odd])
                 rows.append((a, b, same, len(kept) + len(other) - same, len(other), np.frombuffer(apart, np.int64)))
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else []
             if rows:
@@ -469,7 +496,10 @@ def grouped(
     similar = F.col("common") * den >= F.col("total") * num
     links = verified.where(similar).select("a", "b")
     roots = materialize(connected(links))
-    found = verify(outsider_pairs(verified, roots, similarity), texts, shingle).where(similar)
+    members = materialize(unsettled(verified, roots, similarity))
+    stars = members.select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+    differences = verify(stars, texts, shingle, diff=True)
+    found = verify(outsider_pairs(members, differences, similarity), texts, shingle).where(similar)
     if not found.isEmpty():
         roots = materialize(connected(links.unionByName(found.select("a", "b"))))
     return sets, roots
