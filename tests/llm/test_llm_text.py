@@ -5,7 +5,6 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from wellspring.llm import components, decontaminate, jaccard_join, quality, shuffle_shards
 

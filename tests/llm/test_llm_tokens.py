@@ -6,7 +6,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from wellspring.llm import bpe, packing, token_counts, token_shards
 
