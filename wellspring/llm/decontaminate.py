@@ -135,7 +135,10 @@ def keep_clean(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct("*").alias("doc")
     )
     judged = _judged(boxed, benchmark, window, shingle)
-    return judged.where(~F.col("contaminated")).select("doc.*")
+    # a plain filter would be pushed below the projections, which would cut every word list anew
+    # in every comparison
+    rows = judged.select(F.explode_outer(F.when(~F.col("contaminated"), F.array("doc"))).alias("doc"))
+    return rows.where(F.col("doc").isNotNull()).select("doc.*")
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:

@@ -152,4 +152,12 @@ def judge(
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with their own columns, that pass all rules."""
     boxed = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
-    return with_features(boxed).withColumns(verdict(rules)).where("kept").select("doc.*")
+    judged = with_features(boxed).withColumns(verdict(rules))
+    return only(judged, F.col("kept"))
+
+
+def only(judged: DataFrame, passed: Column) -> DataFrame:
+    """The columns of ``doc`` where ``passed`` holds. A plain filter would be pushed below the
+    projections, with all features written out anew in every place that names them."""
+    rows = judged.select(F.explode_outer(F.when(passed, F.array("doc"))).alias("doc"))
+    return rows.where(F.col("doc").isNotNull()).select("doc.*")
