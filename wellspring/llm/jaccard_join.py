@@ -260,18 +260,19 @@ def signature_rows(docs: DataFrame, shingle: int, similarity: tuple[int, int]) -
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
     """Rows whose signature two classes have, one of them in its own band, one with the whole
-    segment. Rows are written once, so that one exchange serves the counts and the rows; hot
-    signatures stream through it."""
-    dealt = materialize(rows).repartition("sig")
-    meta = F.col("meta")
-    useful = dealt.groupBy("sig").agg(
-        F.min("cls").alias("least"),
-        F.max("cls").alias("most"),
-        F.max(meta.bitwiseAND(OWN)).alias("own"),
-        F.max(meta.bitwiseAND(WHOLE)).alias("whole"),
+    segment. Signatures are shuffled once and never stored; a hot one passes through a buffer that
+    spills, and the many segments of its sets are other signatures, in other tasks."""
+    meta, own = F.col("meta"), Window.partitionBy("sig")
+    marked = rows.withColumns(
+        {
+            "least": F.min("cls").over(own),
+            "most": F.max("cls").over(own),
+            "owned": F.max(meta.bitwiseAND(OWN)).over(own),
+            "whole": F.max(meta.bitwiseAND(WHOLE)).over(own),
+        }
     )
-    useful = useful.where("least != most AND own > 0 AND whole > 0").select("sig")
-    return materialize(dealt.join(useful.hint("shuffle_hash"), "sig", "left_semi").dropDuplicates())
+    useful = marked.where("least != most AND owned > 0 AND whole > 0").select("sig", "cls", "meta")
+    return materialize(useful.dropDuplicates())
 
 
 def allocate(shared: DataFrame, bands: Bands) -> DataFrame:
