@@ -18,7 +18,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
 #: Characters handled at once. Arrays of this length are what a task holds besides its input.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 #: Slots of the piece table, and values it may hold before it starts anew.
 SLOT_BITS = 20
 POOL_VALUES = 1 << 23
