@@ -14,6 +14,7 @@ from wellspring.llm import (
     jaccard_join,
     packing,
     quality,
+    runs,
     shuffle_shards,
     token_counts,
     token_shards,
@@ -116,6 +117,45 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_repeated_ends(docs: DataFrame) -> DataFrame:
+    """Documents whose ids' checksums end in 0 get a text that repeats a stretch of its words from
+    some word on; the other texts stay as they are."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, first, period = F.col("n"), F.col("first"), F.col("period")
+    shown = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.get("words", F.when(i < first, i).otherwise(first + (i - first) % period)),
+    )
+    return (
+        docs.select("doc_id", "text", checksum.alias("checksum"))
+        .select("*", F.when(F.col("checksum") % 10 == 0, words).alias("words"))
+        .select("*", F.floor(F.col("checksum") / 10).alias("g"), F.size("words").alias("n"))
+        .select("*", F.when(n > 0, F.col("g") % n).cast("int").alias("first"))
+        .select("*", (1 + F.floor((n - first) / (3 + F.col("g") % 8))).cast("int").alias("period"))
+        .select("doc_id", F.when(n > 0, F.array_join(shown, " ")).otherwise(F.col("text")).alias("text"))
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_repeated_ends(table(spark, sf_dir, "documents")))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    found = found.withColumn("best", runs.longest_power())
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -129,5 +169,6 @@ QUERIES: dict[str, Query] = {
         op8_html_text,
         op9_token_shards,
         op10_shuffle_shards,
+        op12_periodic_runs,
     )
 }
