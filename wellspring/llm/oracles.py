@@ -135,10 +135,31 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(hit.c, 0) AS n_hit, coalesce(item
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP13 = f"""
+WITH d AS (SELECT doc_id, {_words("coalesce(text, '')")} AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM win
+  ) WHERE k > 1
+), covered AS (SELECT DISTINCT doc_id, i + unnest(range(0, 20)) AS i FROM later
+), word AS (SELECT doc_id, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i FROM d
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS text
+  FROM word ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": OP1,
     "op3_chat_examples": OP3,
     "op4_quality_rules": OP4,
     "op5_warc": OP5,
     "op6_decontaminate": OP6,
+    "op13_substring_dedup": OP13,
 }

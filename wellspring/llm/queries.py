@@ -16,6 +16,7 @@ from wellspring.llm import (
     quality,
     runs,
     shuffle_shards,
+    substring_dedup,
     token_counts,
     token_shards,
     warc,
@@ -156,6 +157,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -170,5 +176,6 @@ QUERIES: dict[str, Query] = {
         op9_token_shards,
         op10_shuffle_shards,
         op12_periodic_runs,
+        op13_substring_dedup,
     )
 }

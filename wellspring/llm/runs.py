@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words handled at once; a longer document is a block of its own.
-BLOCK_WORDS = 1 << 18
+from wellspring.llm.words import BLOCK_WORDS, blocks, numbered
+
 RUN_TYPE = pa.list_(
     pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 )
@@ -246,20 +246,6 @@ def _kept(words: list[bytes], runs: list[tuple[int, int, int]]) -> list[bytes]:
     return [words[i] for i in np.flatnonzero(keep).tolist()]
 
 
-def _blocks(texts: list[bytes | None]) -> Iterator[list[list[bytes]]]:
-    """Words of texts, in blocks of about ``BLOCK_WORDS``."""
-    block, total = [], 0
-    for text in texts:
-        words = text.split() if text else []  # bytes split at ASCII white space only
-        if block and total + len(words) > BLOCK_WORDS:
-            yield block
-            block, total = [], 0
-        block.append(words)
-        total += len(words)
-    if block:
-        yield block
-
-
 def find_runs(
     docs: DataFrame,
     min_length: int = 6,
@@ -280,12 +266,8 @@ def find_runs(
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             at = 0
-            for block in _blocks(texts):
-                number: dict[bytes, int] = defaultdict()
-                number.default_factory = number.__len__
-                ends = np.cumsum([len(words) for words in block])
-                flat = (number[word] for words in block for word in words)
-                ids = np.fromiter(flat, np.int64, int(ends[-1]))
+            for block in blocks(texts, BLOCK_WORDS):
+                ids, ends, _ = numbered(block)
                 found = block_runs(ids, ends, min_length, min_exponent)
                 rows, collapsed = [], []
                 for k, words in enumerate(block):
