@@ -42,6 +42,18 @@ def test_long_texts_are_cut_without_effect(monkeypatch):
         assert ids[lo:hi].tolist() == library(text)
 
 
+@pytest.mark.parametrize("size", [1024, 2048, 4096, 8192])
+def test_self_similar_words_get_their_own_ids(size):
+    """Such words and their complements clash under hashes by powers of one factor modulo 2**64."""
+    ones = [bin(i).count("1") % 2 for i in range(size)]
+    texts = ["".join("ab"[i] for i in ones), "".join("ba"[i] for i in ones)]
+    for case in (texts, [" " + t for t in texts], ["é" + t for t in texts]):
+        ids, offsets = bpe.BatchEncoder(PATH).encode(case)
+        assert [ids[lo:hi].tolist() for lo, hi in zip(offsets, offsets[1:])] == list(map(library, case))
+        counted = token_counts.PrefixCounter(PATH).count(case)
+        assert counted.tolist() == [len(library(t)) for t in case]
+
+
 def test_prefix_counts_are_exact_at_every_prefix():
     own = token_counts.counter(PATH)
     texts = fuzz(300, 12, 2)

@@ -32,6 +32,7 @@ class _Shared:
 
     classes: np.ndarray | None = None
     marks: tuple[np.ndarray, np.ndarray] | None = None
+    places: tuple[np.ndarray, np.ndarray] | None = None
     powers: tuple[np.ndarray, np.ndarray] | None = None
 
 
@@ -56,6 +57,16 @@ def _marks() -> tuple[np.ndarray, np.ndarray]:
     return _Shared.marks
 
 
+def _places(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two random odd 64-bit factors for every place within a piece. They are independent: hashes
+    by powers of one factor agree on self-similar strings, whatever the factor."""
+    if _Shared.places is None or len(_Shared.places[0]) < n:
+        size = 1 << max(n - 1, 1023).bit_length()
+        draw = (np.random.default_rng(seed).integers(0, 1 << 63, size, np.uint64) for seed in (21, 22))
+        _Shared.places = tuple(factors * np.uint64(2) + np.uint64(1) for factors in draw)
+    return _Shared.places
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd factor and of its inverse modulo 2**64."""
     if _Shared.powers is None or len(_Shared.powers[0]) < n:
@@ -113,10 +124,21 @@ def piece_starts(points: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
 
 
 class PieceTable:
-    """Values of pieces (ids, counts, ...) found by ``resolve`` once and kept in bounded memory."""
+    """Values of pieces (ids, counts, ...) found by ``resolve`` once and kept in bounded memory.
 
-    def __init__(self, special: list[str], resolve: Callable[[list[str]], list], dtype: type):
+    ``starts`` cuts texts into pieces, and very long texts may be cut at any match of ``cut``.
+    """
+
+    def __init__(
+        self,
+        special: list[str],
+        resolve: Callable[[list[str]], list],
+        dtype: type,
+        starts: Callable[[np.ndarray, np.ndarray], np.ndarray] = piece_starts,
+        cut: str = r"(?<=\S)\s",
+    ):
         self.resolve, self.dtype = resolve, dtype
+        self.starts, self.cut = starts, re.compile(cut)
         ordered = sorted((s for s in special if s), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, ordered)) + ")") if ordered else None
         self._clear()
@@ -146,7 +168,7 @@ class PieceTable:
             cut = self.special.split(text) if self.special and self.special.search(text) else [text]
             for k, part in enumerate(cut):
                 while len(part) > CHUNK_CHARS and k % 2 == 0:
-                    found = re.compile(r"(?<=\S)\s").search(part, CHUNK_CHARS // 2)
+                    found = self.cut.search(part, CHUNK_CHARS // 2)
                     if not found:
                         break
                     yield i, part[: found.start()], False
@@ -179,18 +201,18 @@ class PieceTable:
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         lengths = np.fromiter((len(p) for _, p, _ in group), np.int64, len(group))
         text_ends = np.cumsum(lengths)
-        starts = piece_starts(points, text_ends - lengths)
+        starts = self.starts(points, text_ends - lengths)
         for (_, _, whole), end, size in zip(group, text_ends, lengths):
             if whole:  # a special token is one piece
                 lo, hi = np.searchsorted(starts, [end - size + 1, end])
                 starts = np.delete(starts, slice(lo, hi))
         ends = np.append(starts[1:], len(points))
-        up, down = _powers(len(points))
-        keys = []
-        for marks in _marks():
-            sums = np.cumsum(marks[points] * up[: len(points)], dtype=np.uint64)
-            sums = np.append(np.uint64(0), sums)
-            keys.append((sums[ends] - sums[starts]) * down[starts])
+        sizes = ends - starts
+        place = np.arange(len(points)) - np.repeat(starts, sizes)
+        keys = [
+            np.add.reduceat(marks[points] * factors[place], starts)
+            for marks, factors in zip(_marks(), _places(int(sizes.max())))
+        ]
         key1, key2 = keys
         key1 |= np.uint64(1)  # zero marks a free slot
         slot = (key1 >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
@@ -218,6 +240,18 @@ def gather(pool: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return pool[np.repeat(at - (ends - size), size) + np.arange(total)]
 
 
+def joined_values(table: PieceTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all pieces of all texts end to end, and offsets (one more than texts) into them."""
+    counts = np.zeros(len(texts), np.int64)
+    values = []
+    for owner, part_ends, at, size in table.lookup(texts):
+        values.append(gather(table.pool, at, size))
+        ends = np.append(0, np.cumsum(size))[part_ends]
+        np.add.at(counts, owner, np.diff(ends, prepend=0))
+    offsets = np.append(0, np.cumsum(counts))
+    return (np.concatenate(values) if values else np.zeros(0, table.dtype)), offsets
+
+
 def load_tokenizer(path: str):
     """The tokenizers object of a byte-level BPE file that cuts pieces as this module does."""
     from tokenizers import Tokenizer
@@ -241,11 +275,15 @@ def load_tokenizer(path: str):
 
 
 class BatchEncoder:
-    """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
+    """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
+
+    With ``plain``, the strings of special tokens are ordinary text.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         self.tokenizer, spec = load_tokenizer(path)
-        special = [t["content"] for t in spec["added_tokens"]]
+        self.tokenizer.encode_special_tokens = plain
+        special = [] if plain else [t["content"] for t in spec["added_tokens"]]
         size = 1 + max(spec["model"]["vocab"].values())
         # a byte-level token has one character for each of its bytes
         self.width = np.ones(size, np.int64)
@@ -274,24 +312,17 @@ class BatchEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``ids`` of all texts end to end, and ``offsets`` (one more than texts) into them."""
-        counts = np.zeros(len(texts), np.int64)
-        ids = []
-        for owner, part_ends, at, size in self.table.lookup(texts):
-            ids.append(gather(self.table.pool, at, size))
-            ends = np.append(0, np.cumsum(size))[part_ends]
-            np.add.at(counts, owner, np.diff(ends, prepend=0))
-        offsets = np.append(0, np.cumsum(counts))
-        return (np.concatenate(ids) if ids else np.zeros(0, np.uint32)), offsets
+        return joined_values(self.table, texts)
 
 
-_ENCODERS: dict[str, BatchEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], BatchEncoder] = {}
 
 
-def encoder(path: str) -> BatchEncoder:
+def encoder(path: str, plain: bool = False) -> BatchEncoder:
     """One encoder a process and file; Python workers keep it from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = BatchEncoder(path)
-    return _ENCODERS[path]
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = BatchEncoder(path, plain)
+    return _ENCODERS[path, plain]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
