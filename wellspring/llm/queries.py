@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.llm import (
+    alignment,
     chat,
     decontaminate,
     html_extract,
@@ -118,6 +119,11 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def with_repeated_ends(docs: DataFrame) -> DataFrame:
     """Documents whose ids' checksums end in 0 get a text that repeats a stretch of its words from
     some word on; the other texts stay as they are."""
@@ -175,6 +181,7 @@ QUERIES: dict[str, Query] = {
         op8_html_text,
         op9_token_shards,
         op10_shuffle_shards,
+        op11_token_alignment,
         op12_periodic_runs,
         op13_substring_dedup,
     )
