@@ -33,6 +33,17 @@ def test_other_queries_give_whole_results(spark, name):
     assert ids.exceptAll(found.distinct()).count() == 0 and found.distinct().exceptAll(ids).count() == 0
 
 
+def test_verdicts_can_be_filtered(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = quality.judge(docs).collect()
+    judged = quality.judge(docs)
+    for column in ("kept", "base_failed"):
+        want = sorted(r.doc_id for r in rows if r[column])
+        assert sorted(r.doc_id for r in judged.where(column).collect()) == want
+    for column in set(judged.columns) - {"doc_id", "kept", "base_failed"}:
+        assert judged.where(f"{column} >= 0").count() == len(rows)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = docs.columns

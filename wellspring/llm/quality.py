@@ -144,9 +144,13 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id``, all features, ``base_failed`` and ``kept`` of every document."""
+    """``doc_id``, all features, ``base_failed`` and ``kept`` of every document.
+
+    The rows come out of a generator, so that a filter on them is not pushed below the features.
+    """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return with_features(narrow).withColumns(verdict(rules)).drop("text")
+    judged = with_features(narrow).withColumns(verdict(rules)).drop("text")
+    return judged.select(F.inline(F.array(F.struct("*"))))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
