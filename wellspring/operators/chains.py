@@ -4,88 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
 from wellspring.operators.deps import raw_of_external
 from wellspring.operators.joins import left_join
-from wellspring.session import materialize, work_dir
-
-OPEN, LEAF, CYCLE = "open", "leaf", "cycle"
-# A depth joined with broadcast edges is not shuffled; files of limited length keep it spread out.
-ROWS_PER_FILE = 250_000
-
-
-def _flagged_edges(edges: DataFrame) -> DataFrame:
-    """Distinct edges with ``dep_open``: does the dependency have dependencies itself?"""
-    distinct = edges.select("target", "dep").distinct()
-    sources = edges.select(F.col("target").alias("dep"), F.lit(True).alias("has_deps")).distinct()
-    return distinct.join(sources, "dep", "left").select(
-        "target", "dep", F.col("has_deps").isNotNull().alias("dep_open")
-    )
-
-
-def _walk(
-    anchors: DataFrame, edges: DataFrame, own_from: int, keep_cycles: bool, max_depth: int | None
-) -> DataFrame:
-    """All paths from ``anchors`` (``path``) down to leaves, as ``path, is_cycle``.
-
-    One join per depth. Each depth is written to the shared folder once: the next one reads only
-    the paths still open, the result reads the finished ones, and a lost executor costs no more
-    than its own tasks. The join is inner, so AQE may split a hot table on either side.
-
-    ``own_from`` is the position from which a path may not repeat a table.
-    """
-    spark = edges.sparkSession
-    edges = materialize(_flagged_edges(edges))
-    base = work_dir(spark)
-
-    def write(level: DataFrame, depth: int) -> StructType:
-        level.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{base}/depth={depth}")
-        return level.schema
-
-    sources = edges.select(F.col("target").alias("tip")).distinct()
-    start = anchors.select("path", F.element_at("path", -1).alias("tip")).join(
-        sources.withColumn("has_deps", F.lit(True)), "tip", "left"
-    )
-    schema = write(
-        start.select("path", F.when(F.col("has_deps"), OPEN).otherwise(LEAF).alias("state")), 0
-    )
-
-    depth = 0
-    while True:
-        frontier = (
-            spark.read.schema(schema).parquet(f"{base}/depth={depth}").where(F.col("state") == OPEN)
-        )
-        if frontier.isEmpty():
-            break
-        if max_depth is not None and depth >= max_depth:
-            raise RuntimeError(f"chains longer than {max_depth} steps")
-        repeats = F.array_contains(F.slice("path", own_from, F.size("path")), F.col("dep"))
-        step = (
-            frontier.withColumn("tip", F.element_at("path", -1))
-            .join(edges, F.col("tip") == F.col("target"))
-            .select(
-                F.array_append("path", F.col("dep")).alias("path"),
-                F.when(repeats, CYCLE)
-                .when(F.col("dep_open"), OPEN)
-                .otherwise(LEAF)
-                .alias("state"),
-            )
-        )
-        if not keep_cycles:
-            step = step.where(F.col("state") != CYCLE)
-        depth += 1
-        write(step, depth)
-
-    return (
-        spark.read.schema(schema)
-        .parquet(*[f"{base}/depth={d}" for d in range(depth + 1)])
-        .where(F.col("state") != OPEN)
-        .select("path", (F.col("state") == CYCLE).alias("is_cycle"))
-    )
-
+from wellspring.operators.paths import Walk
+from wellspring.session import materialize
 
 def chain_id(path: Column) -> Column:
     """Identifier that depends on the path only, hence stable between runs and partitions."""
@@ -97,22 +22,29 @@ def warehouse_chains(
     edges: DataFrame,
     dwh_tables: DataFrame | list[str] | None = None,
     max_depth: int | None = None,
+    through: str | None = None,
 ) -> DataFrame:
     """``chain_id, dwh_table, lake_table, path``: chains of every (warehouse, lake) pair.
 
     The pair itself is always a chain. Longer chains end at a table without dependencies; a branch
     that comes back to one of its own lake tables is dropped. ``dwh_tables`` (a list, or a
     DataFrame with ``dwh_table``) restricts the anchors, so other tables are never expanded.
-    ``max_depth`` guards against runaway graphs by failing, not by cutting results.
+    ``through`` asks for the chains that pass a lake table: anchors that cannot reach it are left
+    out, and so are branches that lead elsewhere before it. ``max_depth`` guards against runaway
+    graphs by failing, not by cutting results.
     """
     pairs = pairs.select("dwh_table", "lake_table").distinct()
     if isinstance(dwh_tables, DataFrame):
         pairs = pairs.join(dwh_tables.select("dwh_table").distinct(), "dwh_table", "left_semi")
     elif dwh_tables is not None:
         pairs = pairs.where(F.col("dwh_table").isin(dwh_tables))
+    walk = Walk(edges, own_from=2, through=through, max_depth=max_depth)
+    if through is not None:
+        pairs = pairs.join(walk.near.select(F.col("dep").alias("lake_table")), "lake_table", "left_semi")
     pairs = materialize(pairs.select(F.array("dwh_table", "lake_table").alias("path")))
-    deep = _walk(pairs, edges, own_from=2, keep_cycles=False, max_depth=max_depth)
-    longer = deep.where(F.size("path") > 2).select("path")
+    longer = walk.paths(pairs).where(F.size("path") > 2).select("path")
+    if through is not None:
+        pairs = pairs.where(F.col("path")[1] == through)
     return pairs.unionByName(longer).select(
         chain_id(F.col("path")).alias("chain_id"),
         F.col("path")[0].alias("dwh_table"),
@@ -139,7 +71,7 @@ def lake_chains(
     elif tables is not None:
         roots = roots.where(F.col("root").isin(tables))
     anchors = roots.select(F.array("root").alias("path"))
-    walked = _walk(anchors, edges, own_from=1, keep_cycles=True, max_depth=max_depth)
+    walked = Walk(edges, keep_cycles=True, max_depth=max_depth).paths(anchors)
     return walked.select(
         chain_id(F.col("path")).alias("chain_id"), F.col("path")[0].alias("root"), "path", "is_cycle"
     )

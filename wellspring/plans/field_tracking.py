@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wellspring.operators import chains, confs, deps, projections, scripts, tracking
 from wellspring.plans.table_lineage import TableLineage
@@ -14,34 +15,58 @@ from wellspring.session import materialize
 
 @dataclass
 class FieldLineage:
-    """What the field-tracking jobs share. Chain steps are written once; so are the projections of
-    all scripts when a job asks for them, and one table's question reads its own scripts only."""
+    """What the field-tracking jobs share. A question about some tables follows their chains only and
+    cuts only the scripts on them into tokens; all chains and the projections of all scripts are
+    written when a job asks for everything, once."""
 
     lineage: TableLineage
     loaders: DataFrame
     ddl: DataFrame
-    steps: DataFrame
+    table_scripts: DataFrame
     lake_files: DataFrame
     script_io: DataFrame
+    dwh_tables: DataFrame | list[str] | None = None
+
+    def _steps(self, found: DataFrame) -> DataFrame:
+        return materialize(chains.chain_steps(found, self.table_scripts))
+
+    @cached_property
+    def steps(self) -> DataFrame:
+        return self._steps(self.lineage.warehouse_chains(self.dwh_tables))
 
     @cached_property
     def projections(self) -> DataFrame:
         return materialize(projections.projections(self.loaders, self.ddl))
 
+    def projections_of(self, paths: DataFrame) -> DataFrame:
+        """Projections of the scripts in ``paths`` (``path``); others are not looked into."""
+        own = self.loaders.join(paths.select("path").distinct(), "path", "left_semi")
+        return projections.projections(own, self.ddl)
+
     def of_warehouse(
         self, catalog: DataFrame, dwh_tables: DataFrame | list[str] | None = None
     ) -> DataFrame:
-        """Field tracking for warehouse tables; ``catalog`` is ``table_name, fields``."""
+        """Field tracking for warehouse tables, all of them or ``dwh_tables`` (a list, or a DataFrame
+        with ``dwh_table``; case is ignored). ``catalog`` is ``table_name, fields``."""
         fields = tracking.field_map(self.lineage.jobs, catalog)
-        return tracking.warehouse_tracking(
-            self.steps, self.projections, fields, self.script_io, dwh_tables
-        )
+        if dwh_tables is None:
+            return tracking.warehouse_tracking(self.steps, self.projections, fields, self.script_io)
+        key = F.upper("dwh_table").alias("key")
+        known = self.lineage.pairs.select("dwh_table", key).distinct()
+        if isinstance(dwh_tables, DataFrame):
+            known = known.join(dwh_tables.select(key).distinct(), "key", "left_semi")
+        else:
+            known = known.where(F.col("key").isin([t.upper() for t in dwh_tables]))
+        steps = self._steps(self.lineage.warehouse_chains(known))
+        paths = steps.select(F.col("script_path").alias("path"))
+        found = self.projections_of(paths)
+        return tracking.warehouse_tracking(steps, found, fields, self.script_io)
 
     def of_lake_table(self, table: str) -> DataFrame:
-        paths = materialize(tracking.lake_table_paths(table, self.steps, self.lake_files))
-        own = self.loaders.join(paths.select("path").distinct(), "path", "left_semi")
-        found = materialize(projections.projections(own, self.ddl))
-        return tracking.lake_table_tracking(paths, found)
+        """Field tracking for a lake table, from the chains that pass it."""
+        steps = self._steps(self.lineage.chains_through(table))
+        paths = materialize(tracking.lake_table_paths(table, steps, self.lake_files))
+        return tracking.lake_table_tracking(paths, materialize(self.projections_of(paths)))
 
 
 def field_lineage(
@@ -58,7 +83,8 @@ def field_lineage(
         lineage=lineage,
         loaders=loaders,
         ddl=scripts.ddl_catalog(script_files),
-        steps=materialize(chains.chain_steps(lineage.warehouse_chains(dwh_tables), table_scripts)),
+        table_scripts=table_scripts,
         lake_files=deps.lake_table_files(lineage.edges, lineage.attrs, table_scripts),
         script_io=scripts.script_io(loaders, strip_comments),
+        dwh_tables=dwh_tables,
     )

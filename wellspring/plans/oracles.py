@@ -548,6 +548,12 @@ ORACLES = {
     "l12_lake_table_tracking": lake_tracking("AGG.SPARK_FT_1"),
     "l12_fallback": lake_tracking("MON.SPARK_FT_35"),
     "l13_warehouse_tracking": with_(*DWH_TRACKING, select="SELECT * FROM tracking", recursive=True),
+    "l13_of_tables": with_(
+        *DWH_TRACKING,
+        *REPORT[:2],
+        select="SELECT * FROM tracking WHERE upper(dwh_table) IN (SELECT upper(Table_RDMS) FROM report)",
+        recursive=True,
+    ),
     "l15_staged_tracking_report": with_(
         *DWH_TRACKING,
         select="""SELECT DISTINCT tables AS "Tables utilisées", computed_table AS "Table calculée", dwh_field AS dwh_fields, "column" AS "Champ", alias AS "Alias", step AS "Etape",

@@ -579,6 +579,14 @@ def _(i: Inputs) -> DataFrame:
     return rows.withColumn("step", F.col("step").cast("long"))
 
 
+@query("l13_of_tables")
+def _(i: Inputs) -> DataFrame:
+    """The warehouse tables that the report names; their letters are in another case there."""
+    tables = report.dwh_tables(i.clean_report).select(F.lower("Table_RDMS").alias("dwh_table"))
+    rows = i.field_lineage().of_warehouse(i.fields, tables)
+    return rows.withColumn("step", F.col("step").cast("long"))
+
+
 @query("l15_staged_tracking_report")
 def _(i: Inputs) -> DataFrame:
     rows = tracking.staged_tracking_report(i.field_lineage().of_warehouse(i.fields))

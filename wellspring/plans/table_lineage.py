@@ -31,6 +31,10 @@ class TableLineage:
             return self._all_warehouse_chains
         return chains.warehouse_chains(self.pairs, self.edges, tables)
 
+    def chains_through(self, lake_table: str) -> DataFrame:
+        """Warehouse chains that pass a lake table; no other is enumerated."""
+        return chains.warehouse_chains(self.pairs, self.edges, through=lake_table.upper())
+
     def lake_chains(self, tables: DataFrame | list[str] | None = None) -> DataFrame:
         return chains.lake_chains(self.edges, self.attrs, tables)
 
