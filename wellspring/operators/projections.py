@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,48 +12,66 @@ from wellspring.operators import tokens as T
 from wellspring.session import materialize
 
 
-def select_items(enclosing: DataFrame) -> DataFrame:
+def select_items(outline: DataFrame) -> DataFrame:
     """``doc, stmt, select_pos, item_no`` and what is in every SELECT item.
 
-    Tokens are gathered per item and items per query; both stay within one script, and within the
-    partition that already holds the script.
+    A statement's tokens are gathered once, within the partition that already holds the script;
+    items and queries are slices of them.
     """
-    word = F.struct("pos", "tok", "own", "is_column", "is_alias", "label", "operator")
-    outer_name = F.when(
-        (F.col("level") == 0) & (F.col("query") >= 0) & ~F.col("nested") & F.col("is_column"),
-        F.upper(T.column_name()),
+    name = F.upper(T.column_name())
+    outer = F.col("is_column") & (F.col("outer_query") >= 0) & ~F.col("nested")
+    # symbol table of a script: is this name a column of one of its outermost queries?
+    known = F.max(outer).over(W.partitionBy("doc", name))
+    word = F.struct(
+        "pos", "tok", "depth", "is_table", "is_column", "is_alias", "known", "label", "operator"
     )
-    pieces = (
-        enclosing.where(F.col("query") >= 0)
-        .groupBy("doc", "stmt", "level", "query", "item")
+    item = F.struct("level", "query", "item_start", "item_end")
+    query = F.struct("level", "query", "query_end")
+    statements = (
+        outline.withColumn("known", F.col("is_column") & known)
+        .groupBy("doc", "stmt")
         .agg(
-            F.sort_array(F.collect_list(F.when(F.col("item").isNotNull(), word))).alias("words"),
-            F.collect_set(F.when(F.col("is_table"), T.table_name())).alias("tables"),
-            F.collect_set(outer_name).alias("outer"),
+            F.sort_array(F.collect_list(F.when(~F.col("edge"), word))).alias("tokens"),
+            F.sort_array(
+                F.collect_list(F.when((F.col("item_start") >= 0) & (F.col("query") >= 0), item))
+            ).alias("items"),
+            F.collect_list(F.when(F.col("query_end").isNotNull(), query)).alias("queries"),
         )
     )
-    queries = pieces.groupBy("doc", "stmt", "level", "query").agg(
-        F.sort_array(
-            F.collect_list(F.when(F.col("item").isNotNull(), F.struct("item", "words")))
-        ).alias("items"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("tables")))).alias("tables"),
-        F.flatten(F.collect_list("outer")).alias("outer"),
+
+    def between(begin: Column, end: Column) -> Column:
+        """Tokens from one position to before another."""
+        return F.slice("tokens", begin + 1, F.least(end, F.size("tokens")) - begin)
+
+    def tables(q: Column) -> Column:
+        inside = F.filter(between(q["query"], q["query_end"]), lambda t: t["is_table"])
+        return F.array_sort(F.array_distinct(F.transform(inside, lambda t: T.table_name(t["tok"]))))
+
+    tables_of = F.map_from_entries(
+        F.transform("queries", lambda q: F.struct(q["query"], tables(q).alias("tables")))
     )
-    outer = F.array_distinct(F.flatten(F.collect_list("outer").over(W.partitionBy("doc"))))
-    items = queries.withColumn("outer", outer).select(
-        "doc",
-        "stmt",
-        "level",
-        F.col("query").alias("select_pos"),
-        F.posexplode("items").alias("item_no", "item"),
-        "tables",
-        "outer",
+
+    def filled(i: Column) -> Column:
+        return F.struct(
+            i["level"].alias("level"),
+            i["query"].alias("select_pos"),
+            i["item_start"].alias("item"),
+            between(i["item_start"] + 1, i["item_end"]).alias("words"),
+            F.try_element_at("tables_of", i["query"]).alias("tables"),
+        )
+
+    order = W.partitionBy("doc", "stmt", "level", "select_pos").orderBy("item")
+    items = (
+        statements.select("doc", "stmt", "tokens", "items", tables_of.alias("tables_of"))
+        .select("doc", "stmt", F.inline(F.transform("items", filled)))
+        .where(F.size("words") > 0)
+        .withColumn("item_no", F.row_number().over(order) - 1)
     )
 
     words = F.col("words")
     last, before = F.try_element_at(words, F.lit(-1)), F.try_element_at(words, F.lit(-2))
     named = F.when(
-        last["own"] & last["is_alias"],
+        (last["depth"] == F.col("level")) & last["is_alias"],
         F.when(F.upper(before["tok"]) == "AS", F.lit(2)).otherwise(F.lit(1)),
     ).otherwise(F.lit(0))
     single = F.when(
@@ -64,8 +82,7 @@ def select_items(enclosing: DataFrame) -> DataFrame:
     )
     alias = F.when(F.col("named") > 0, F.translate(last["tok"], "`", "")).otherwise(single)
     items = (
-        items.select("*", F.col("item.words").alias("words"))
-        .withColumn("named", named)
+        items.withColumn("named", named)
         .select(
             "doc",
             "stmt",
@@ -76,7 +93,6 @@ def select_items(enclosing: DataFrame) -> DataFrame:
             F.array_join(F.transform(words, lambda w: w["tok"]), " ").alias("item_sql"),
             F.slice(words, F.lit(1), F.size(words) - F.col("named")).alias("words"),
             "tables",
-            "outer",
         )
     )
 
@@ -95,7 +111,7 @@ def select_items(enclosing: DataFrame) -> DataFrame:
         lambda w: F.struct(
             name(w["tok"]).alias("name"),
             bare(w["tok"]).alias("bare"),
-            F.array_contains("outer", F.upper(name(w["tok"]))).alias("known"),
+            w["known"].alias("known"),
         ),
     )
     return items.select(
@@ -126,14 +142,15 @@ def _with_ddl(items: DataFrame, ddl: DataFrame) -> DataFrame:
     """Marks bare names as known that the DDL of a table read by the script declares.
 
     The items are written once, as the names still unknown are picked from them before the marks
-    are put on them. Only those names, distinct per script, and the tables of the outermost
-    queries take part in the joins.
+    are put on them. Names are looked up one by one, distinct per script; an item gets back those of
+    its own names only.
     """
     items = materialize(items)
+    key = ["doc", "stmt", "select_pos", "item_no"]
     unknown = (
-        items.select("doc", F.explode("used").alias("u"))
+        items.select(*key, F.explode("used").alias("u"))
         .where(F.col("u.bare") & ~F.col("u.known"))
-        .select("doc", F.upper("u.name").alias("name"))
+        .select(*key, F.upper("u.name").alias("name"))
         .distinct()
     )
     sources = (
@@ -142,11 +159,16 @@ def _with_ddl(items: DataFrame, ddl: DataFrame) -> DataFrame:
         .distinct()
     )
     fields = ddl.select(F.upper("table_name").alias("table"), F.explode("fields").alias("name"))
-    declared = (
-        unknown.join(sources, "doc")
+    symbols = (
+        unknown.select("doc", "name")
+        .distinct()
+        .join(sources, "doc")
         .join(fields.distinct(), ["table", "name"])
-        .groupBy("doc")
-        .agg(F.collect_set("name").alias("declared"))
+        .select("doc", "name")
+        .distinct()
+    )
+    declared = (
+        unknown.join(symbols, ["doc", "name"]).groupBy(*key).agg(F.collect_set("name").alias("declared"))
     )
     known = F.transform(
         "used",
@@ -155,7 +177,7 @@ def _with_ddl(items: DataFrame, ddl: DataFrame) -> DataFrame:
             u["known"] | F.coalesce(F.array_contains("declared", F.upper(u["name"])), F.lit(False)),
         ),
     )
-    return items.join(declared, "doc", "left").withColumn("used", known).drop("declared")
+    return items.join(declared, key, "left").withColumn("used", known).drop("declared")
 
 
 def projections(scripts: DataFrame, ddl: DataFrame | None = None) -> DataFrame:
@@ -164,7 +186,7 @@ def projections(scripts: DataFrame, ddl: DataFrame | None = None) -> DataFrame:
     ``path, stmt_no, select_pos, item_no, alias, formula_sql, columns_used, aggregations,
     arithmetic_ops, tables``. ``ddl`` (``table_name, fields``) helps to recognise bare columns.
     """
-    items = select_items(T.enclosing(T.clauses(T.tokens(scripts))))
+    items = select_items(T.outline(T.clauses(T.tokens(scripts))))
     if ddl is not None:
         items = _with_ddl(items, ddl)
     paths = scripts.select("path", T.doc_key(F.col("content")).alias("doc"))
@@ -216,10 +238,10 @@ def tables_used(projections: DataFrame) -> DataFrame:
     return projections.select(F.upper(tables_text()).alias("tables")).distinct()
 
 
-def _source_fields(enclosing: DataFrame) -> DataFrame:
+def _source_fields(outline: DataFrame) -> DataFrame:
     """``doc, table, field`` of the outermost queries, distinct."""
-    top = enclosing.where((F.col("level") == 0) & (F.col("query") >= 0))
-    own, from_clause = F.col("own"), F.col("clause").isin("FROM", "ON")
+    top = outline.where((F.col("outer_query") >= 0) & ~F.col("edge"))
+    own, from_clause = F.col("depth") == 0, F.col("outer_clause").isin("FROM", "ON")
     base = F.split(F.translate("tok", "`", ""), r"\.")
 
     # FROM t [AS] a: the alias follows its table; a derived table's or CTE's tables are found by
@@ -234,14 +256,14 @@ def _source_fields(enclosing: DataFrame) -> DataFrame:
     )
     inner = F.when(~own & F.col("is_table"), F.struct("group", T.table_name().alias("table")))
     cte = F.when(
-        own & (F.col("clause") == "WITH") & (F.col("next") == "AS"),
+        own & (F.col("outer_clause") == "WITH") & (F.col("next") == "AS"),
         F.struct((F.col("group") + 1).alias("group"), F.col("tok").alias("name")),
     )
     used = F.when(
         F.col("is_column") & ~F.col("nested"),
         F.struct(T.qualifier().alias("qualifier"), T.column_name().alias("field")),
     )
-    queries = top.groupBy("doc", "stmt", "query").agg(
+    queries = top.groupBy("doc", "stmt", "outer_query").agg(
         F.sort_array(F.collect_list(direct)).alias("direct"),
         F.sort_array(F.collect_list(renamed)).alias("renamed"),
         F.collect_set(inner).alias("inner"),
@@ -308,6 +330,6 @@ def source_fields(scripts: DataFrame) -> DataFrame:
     Derived tables and CTEs stand for the tables inside them. A bare column belongs to the only
     source, or to ``UNKNOWN_TABLE`` when there are several.
     """
-    fields = _source_fields(T.enclosing(T.clauses(T.tokens(scripts))))
+    fields = _source_fields(T.outline(T.clauses(T.tokens(scripts))))
     paths = scripts.select("path", T.doc_key(F.col("content")).alias("doc"))
     return paths.join(fields, "doc").select("path", "table", "field")

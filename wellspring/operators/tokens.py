@@ -71,6 +71,18 @@ def tokens(scripts: DataFrame) -> DataFrame:
     )
 
 
+#: Position beyond any statement.
+END = 2**31 - 1
+
+
+def _next(event: str) -> Column:
+    """Position of the next row at the same depth for which ``event`` holds."""
+    return F.expr(
+        f"lead(CASE WHEN {event} THEN pos END) IGNORE NULLS "
+        "OVER (PARTITION BY doc, stmt, level ORDER BY pos, edge)"
+    )
+
+
 def clauses(tokens: DataFrame) -> DataFrame:
     """Tokens with the clause and query they stand in, and the part they play there.
 
@@ -80,6 +92,10 @@ def clauses(tokens: DataFrame) -> DataFrame:
 
     A parenthesis also gets a row at the inner depth, which resets clause and query there; those
     rows have ``edge`` true.
+
+    Queries and items are intervals of positions: the row that opens one has its end, the position
+    of the next such row at its depth (NULL if the statement ends first), in ``item_end`` or
+    ``query_end``. What lies inside, however deep, is found by positions alone.
     """
     both = F.when(F.col("tok").isin("(", ")"), F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False))
@@ -114,7 +130,17 @@ def clauses(tokens: DataFrame) -> DataFrame:
         .when((F.col("clause") == "SELECT") & (word == ","), pos)
         .when(word.isin("DISTINCT", "ALL") & (F.col("prev") == "SELECT"), pos)
     )
-    rows = rows.withColumn("query", F.last(query, True).over(so_far))
+    rows = rows.select(
+        "*",
+        item_start.alias("item_start"),
+        query.alias("turn"),
+    ).select(
+        "*",
+        F.last("turn", True).over(so_far).alias("query"),
+        F.last("turn", True).over(before).alias("last_query"),
+        _next("item_start IS NOT NULL OR turn IS NOT NULL").alias("item_end"),
+        _next("turn IS NOT NULL").alias("query_end"),
+    )
     in_query = F.coalesce(F.col("query") >= 0, F.lit(False))
 
     name, call = F.col("is_name"), F.col("next") == "("
@@ -151,8 +177,13 @@ def clauses(tokens: DataFrame) -> DataFrame:
         "level",
         "edge",
         "clause",
-        F.col("query"),
-        item_start.alias("item_start"),
+        "query",
+        "item_start",
+        F.when(F.col("item_start") >= 0, F.coalesce("item_end", F.lit(END))).alias("item_end"),
+        F.when(F.col("turn") >= 0, F.coalesce("query_end", F.lit(END))).alias("query_end"),
+        (in_query.cast("int") - F.coalesce(F.col("last_query") >= 0, F.lit(False)).cast("int")).alias(
+            "opened"
+        ),
         flag(table).alias("is_table"),
         flag(column).alias("is_column"),
         flag(alias).alias("is_alias"),
@@ -163,59 +194,28 @@ def clauses(tokens: DataFrame) -> DataFrame:
     )
 
 
-def enclosing(clauses: DataFrame) -> DataFrame:
-    """Every token once per depth around it, with the query and SELECT item it lies in there.
-
-    ``level`` is the depth looked at, ``own`` marks the token's own depth, ``item`` is NULL outside
-    SELECT lists and for the words that delimit items, ``nested`` tells whether a query lies
-    between the outermost one and the token. ``clause`` is the clause at that level, and ``group``
-    counts the parentheses opened at that level so far.
+def outline(clauses: DataFrame) -> DataFrame:
+    """Tokens with what surrounds them: ``clause``, ``query`` and ``group`` at the outermost depth,
+    and ``nested``, whether a query below the outermost one encloses the token.
 
-    At one depth the items of a statement are disjoint ranges, so the last delimiter seen decides
-    which one a token is in. That replaces a range join by one more window.
+    ``group`` counts the outermost parentheses opened so far. Queries open and close along the
+    statement, so a running sum tells how many are open; there is one row a token, at any depth.
     """
-    above = F.when(F.col("edge"), F.array("level")).otherwise(
-        F.sequence(F.lit(0), F.col("depth"))
-    )
-    rows = clauses.withColumn("at", F.explode(above)).withColumn(
-        "own", (F.col("at") == F.col("level")) & ~F.col("edge")
-    )
-    here = F.col("own") | F.col("edge")
-    order = W.partitionBy("doc", "stmt", "at").orderBy("pos", "edge")
+    order = W.partitionBy("doc", "stmt").orderBy("pos", "edge")
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.select(
-        "doc",
-        "stmt",
-        "pos",
-        "tok",
-        "prev",
-        "prev2",
-        "next",
-        "depth",
-        "edge",
-        "own",
-        F.col("at").alias("level"),
-        "is_table",
-        "is_column",
-        "is_alias",
-        "label",
-        "operator",
-        F.last(F.when(here, F.col("clause")), True).over(so_far).alias("clause"),
-        F.last(F.when(here, F.coalesce("query", F.lit(-1))), True).over(so_far).alias("query"),
-        F.last(F.when(here, F.col("item_start")), True).over(so_far).alias("item"),
-        F.sum((F.col("own") & (F.col("tok") == "(")).cast("int")).over(so_far).alias("group"),
-        (F.col("own") & F.col("item_start").isNotNull()).alias("delimiter"),
-    ).where(~F.col("edge"))
-    of_token = W.partitionBy("doc", "stmt", "pos")
-    innermost = F.max(F.when(F.col("query") >= 0, F.col("level"))).over(of_token)
-    return rows.select(
-        *[c for c in rows.columns if c not in ("edge", "item", "delimiter")],
-        F.when((F.col("item") >= 0) & ~F.col("delimiter"), F.col("item")).alias("item"),
-        (F.coalesce(innermost, F.lit(0)) > 0).alias("nested"),
+    outer = (F.col("level") == 0) & ~F.col("edge")
+    below = F.when(F.col("level") > 0, F.col("opened")).otherwise(0)
+    rows = clauses.select(
+        "*",
+        F.last(F.when(outer, F.col("clause")), True).over(so_far).alias("outer_clause"),
+        F.last(F.when(outer, F.coalesce("query", F.lit(-1))), True).over(so_far).alias("outer_query"),
+        F.sum((outer & (F.col("tok") == "(")).cast("int")).over(so_far).alias("group"),
+        (F.sum(below).over(so_far) > 0).alias("nested"),
     )
+    return rows
 
 
-def table_name(tok: str = "tok") -> Column:
+def table_name(tok: str | Column = "tok") -> Column:
     """Database and table of a name token, backquotes and further parts removed."""
     parts = F.split(F.translate(tok, "`", ""), r"\.")
     return F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)), ".")
