@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from wellspring.operators import catalog, flows, report
 from wellspring.session import work_dir
@@ -171,3 +172,60 @@ def test_report_from_folders(spark, tmp_path):
     want = table_lineage.server_report(*frames)
     assert found.columns == want.columns
     assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
+def test_wide_reports_give_short_plans(spark):
+    """Co-occurrence of 200 columns: the plan grows with columns, not with pairs of them."""
+
+    def wide(n):
+        names = ["Table_RDMS", "Table_Hive", *(f"Dep_datalake{i}" for i in range(1, n - 1))]
+        row = tuple(f"T{i}" if i % 3 else None for i in range(n))
+        return spark.createDataFrame([row, row], ", ".join(f"{c} string" for c in names))
+
+    def size(n):
+        return len(report.cooccurrence(wide(n))._jdf.queryExecution().optimizedPlan().toString())
+
+    assert size(200) < 3 * size(100)
+    filled = [f"t{i}" for i in range(200) if i % 3]
+    want = sorted((a, b) for k, a in enumerate(filled) for b in filled[k + 1 :])
+    assert pairs(report.cooccurrence(wide(200)), "src", "dep") == want
+
+
+def test_replaced_rows_and_an_interrupted_write(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    with pytest.raises(ValueError):
+        sinks.read_rows(spark, path)
+
+    def write(*rows):
+        sinks.replace_rows(spark.createDataFrame(list(rows), "target string, dep string"), path, "target")
+
+    def stored():
+        return pairs(sinks.read_rows(spark, path), "target", "dep")
+
+    write(("a", "x"), ("a", "y"), ("b", "x"))
+    write(("a", "z"))
+    assert stored() == [("a", "z"), ("b", "x")]
+    write(("a", "z"))  # a second run
+    assert stored() == [("a", "z"), ("b", "x")]
+    broken = spark.range(4).select(
+        F.lit("b").alias("target"),
+        F.when(F.col("id") < 3, F.lit("new")).otherwise(F.raise_error(F.lit("lost"))).alias("dep"),
+    )
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_rows(broken, path, "target")
+    assert stored() == [("a", "z"), ("b", "x")]
+    write(("b", "new"), ("c", "new"))
+    assert stored() == [("a", "z"), ("b", "new"), ("c", "new")]
+
+
+def test_suggestions_for_many_names(spark, demo):
+    names = ["MON.nope", "mon.a", "o.x", "zzz.q", ".x", "agg.k", "cdr.none"]
+    asked = spark.createDataFrame([(n,) for n in names * 2], "asked string")
+    got = pairs(report.suggestions(demo, asked, limit=2), "asked", "name")
+    want = [
+        (name, r.name)
+        for name in names
+        if name not in (".x",)
+        for r in report.similar_tables(demo, name, limit=2).collect()
+    ]
+    assert got == sorted(want) and ("o.x", "mon.a") in got

@@ -10,6 +10,7 @@ import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wellspring.functions import patterns as P
@@ -45,17 +46,17 @@ def report_long(report: DataFrame, row_id: str = "row_id") -> DataFrame:
 def cooccurrence(report: DataFrame) -> DataFrame:
     """Distinct ``src, dep``: each table of a row with every later one, lower case.
 
-    Pairs are pairs of columns, stacked without a self-join and folded by partial aggregation.
+    A row stands for its suffixes, one for each cell, and each distinct suffix gives the pairs of its
+    first cell. Rows are chains, so many end alike: what they share is expanded once. Expressions
+    grow with the number of columns, not with that of column pairs.
     """
-    cells = table_columns(report)
-    lower = report.select(*[F.lower(_filled(c)).alias(c) for c in cells])
-    pairs = [(a, b) for n, a in enumerate(cells) for b in cells[n + 1 :]]
-    stacked = F.stack(F.lit(len(pairs)), *[F.col(c) for pair in pairs for c in pair])
-    return (
-        lower.select(stacked.alias("src", "dep"))
-        .where("src IS NOT NULL AND dep IS NOT NULL")
-        .distinct()
-    )
+    cells = [F.lower(_filled(c)) for c in table_columns(report)]
+    named = report.select(F.array_compact(F.array(*cells)).alias("cells"))
+    starts = F.sequence(F.lit(1), F.size("cells") - 1)
+    suffixes = F.transform(starts, lambda i: F.slice("cells", i, F.size("cells")))
+    folded = named.where(F.size("cells") > 1).select(F.explode(suffixes).alias("cells")).distinct()
+    later = F.slice("cells", F.lit(2), F.size("cells"))
+    return folded.select(F.col("cells")[0].alias("src"), F.explode(later).alias("dep")).distinct()
 
 
 def _only(rows: DataFrame, name: Column, tables: DataFrame | None) -> DataFrame:
@@ -102,6 +103,11 @@ def priorities(report: DataFrame, tables: DataFrame | None = None) -> DataFrame:
 
     1 warehouse, 2 lake, 3 dependency; a table with several origins gets the first that applies.
     """
+    known = origins(report)
+    return _ranked(known if tables is None else known.join(tables, "table", "left_semi"))
+
+
+def _ranked(origins: DataFrame) -> DataFrame:
     rank = (
         F.when(F.col("origin") == P.DWH_COLUMN, 1)
         .when(F.col("origin") == P.LAKE_COLUMN, 2)
@@ -109,10 +115,8 @@ def priorities(report: DataFrame, tables: DataFrame | None = None) -> DataFrame:
         .otherwise(4)
     )
     priority = F.col("priority")
-    known = origins(report)
-    known = known if tables is None else known.join(tables, "table", "left_semi")
     return (
-        known.groupBy("table")
+        origins.groupBy("table")
         .agg(F.min(rank).alias("priority"))
         .withColumn(
             "tag",
@@ -191,34 +195,83 @@ def degrees(report: DataFrame) -> DataFrame:
     return names.join(counts, "table", "left").na.fill(0, ["nb_dependencies", "nb_users"])
 
 
+def facts(report: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """``table, kind, attribute, item, seen``: all that the report says of each table, from one scan
+    and one aggregate. ``kind`` is name (as written), origin (a column), meta or dep (a later table of
+    the row); ``seen`` is the last row and column it comes from."""
+    cells = table_columns(report)
+    meta = [c for c in P.SERVER_COLUMNS if c in report.columns]
+
+    def fact(table: Column, kind: str, item: Column, attribute: Column | None = None, ord: Column | None = None):
+        return F.struct(
+            table.alias("table"),
+            F.lit(kind).alias("kind"),
+            (F.lit("") if attribute is None else attribute).alias("attribute"),
+            item.alias("item"),
+            (F.lit(0) if ord is None else ord).alias("ord"),
+        )
+
+    def cell(number: int, name: str) -> Column:
+        filled = _filled(name)
+        parts = {"table": F.lower(filled), "name": filled, "origin": F.lit(name), "ord": F.lit(number)}
+        return F.when(filled.isNotNull(), F.struct(*[v.alias(k) for k, v in parts.items()]))
+
+    def of_cell(c: Column, i: Column) -> Column:
+        later = F.slice("cells", i + 2, F.size("cells"))
+        return F.concat(
+            F.array(
+                fact(c["table"], "name", c["name"], ord=c["ord"]), fact(c["table"], "origin", c["origin"])
+            ),
+            F.transform("meta", lambda m: fact(c["table"], "meta", m["value"], m["attribute"])),
+            F.transform(later, lambda d: fact(c["table"], "dep", d["table"])),
+        )
+
+    value = lambda c: F.struct(F.lit(c).alias("attribute"), _filled(c).alias("value"))
+    none = F.array().cast("array<struct<attribute:string,value:string>>")
+    shown = F.array(*[F.when(_filled(c).isNotNull(), value(c)) for c in meta]) if meta else none
+    rows = report.select(
+        F.col(row_id).alias("row"),
+        F.array_compact(F.array(*[cell(n, c) for n, c in enumerate(cells)])).alias("cells"),
+        F.array_compact(shown).alias("meta"),
+    )
+    told = rows.select("row", F.inline(F.flatten(F.transform("cells", of_cell))))
+    return told.groupBy("table", "kind", "attribute", "item").agg(F.max(F.struct("row", "ord")).alias("seen"))
+
+
+def _nodes_of(known: DataFrame) -> DataFrame:
+    """``table_nodes`` from ``facts``."""
+    names = known.where("kind = 'name'").groupBy("table").agg(F.max_by("item", "seen").alias("name"))
+    origins = known.where("kind = 'origin'").select("table", F.col("item").alias("origin"))
+    return names.join(_ranked(origins), "table")
+
+
 def diagnostic(report: DataFrame, row_id: str = "row_id", table: str | None = None) -> DataFrame:
     """``table, section, item, tag``: origins, dependencies, users and metadata as one table.
 
-    Edges and nodes serve two sections each and are written once. For one table only the rows
-    that name it are read beyond the names of its neighbours.
+    All sections come from the same facts, which are written once. For one table only the rows that
+    name it are read beyond the names of its neighbours.
     """
-    own = report if table is None else rows_with(report, table)
-    edges = cooccurrence(own)
+    known = facts(report if table is None else rows_with(report, table), row_id)
     if table is not None:
-        edges = edges.where((F.col("src") == table.lower()) | (F.col("dep") == table.lower()))
-    edges = materialize(edges)
-    names = None if table is None else _neighbours(edges, "src", "dep")
-    nodes = materialize(table_nodes(report, row_id, names))
+        name = table.lower()
+        known = known.where((F.col("table") == name) | ((F.col("kind") == "dep") & (F.col("item") == name)))
+    known = materialize(known)
+    edges = known.where("kind = 'dep'").select(F.col("table").alias("src"), F.col("item").alias("dep"))
+    if table is None:
+        nodes = materialize(_nodes_of(known))
+    else:
+        nodes = materialize(table_nodes(report, row_id, _neighbours(edges, "src", "dep")))
     blank = F.lit("").alias("tag")
 
-    def section(rows: DataFrame, name: str, item: str, tag: Column | str) -> DataFrame:
-        return rows.select("table", F.lit(name).alias("section"), F.col(item).alias("item"), tag)
+    def section(rows: DataFrame, name: Column, item: str, tag: Column | str) -> DataFrame:
+        return rows.select("table", name.alias("section"), F.col(item).alias("item"), tag)
 
     used = edges.withColumnRenamed("src", "user")
     rows = (
-        section(origins(own), "origin", "origin", blank)
-        .unionByName(section(_named(edges, nodes, "src", "dep"), "dependency", "dep_name", "tag"))
-        .unionByName(section(_named(used, nodes, "dep", "user"), "user", "user_name", "tag"))
-        .unionByName(
-            server_metadata(own).select(
-                "table", F.col("attribute").alias("section"), F.col("value").alias("item"), blank
-            )
-        )
+        section(known.where("kind = 'origin'"), F.lit("origin"), "item", blank)
+        .unionByName(section(known.where("kind = 'meta'"), F.col("attribute"), "item", blank))
+        .unionByName(section(_named(edges, nodes, "src", "dep"), F.lit("dependency"), "dep_name", "tag"))
+        .unionByName(section(_named(used, nodes, "dep", "user"), F.lit("user"), "user_name", "tag"))
     )
     return rows if table is None else rows.where(F.col("table") == table.lower())
 
@@ -275,3 +328,50 @@ def similar_tables(
     if is_known(report, table):
         found = found.where(F.lit(False))
     return found.select("name", "priority").orderBy("priority", "name").limit(limit)
+
+
+def _grams(text: str, size: int | Column) -> Column:
+    """Distinct runs of ``size`` characters of a text, none if it is shorter."""
+    size = F.lit(size) if isinstance(size, int) else size
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    return F.when(
+        F.length(text) >= size,
+        F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, size))),
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def suggestions(
+    report: DataFrame, asked: DataFrame, row_id: str = "row_id", limit: int = 5
+) -> DataFrame:
+    """``asked, name, priority``: ``similar_tables`` for all names in ``asked`` at once.
+
+    Names are indexed by their runs of up to three characters. A schema is looked up by its rarest
+    run, and what is found there is compared with the whole schema. Names of one schema share one
+    answer, and only the runs of asked schemas are indexed. A name with an empty schema has no row.
+    """
+    nodes = materialize(table_nodes(report, row_id))
+    names = asked.select("asked", F.lower("asked").alias("table")).distinct()
+    unknown = names.join(nodes.select("table"), "table", "left_anti").select(
+        "asked", F.split_part("table", F.lit("."), F.lit(1)).alias("part")
+    )
+    unknown = materialize(unknown.where(F.col("part") != ""))
+    size = F.least(F.length("part"), F.lit(3))
+    runs = materialize(unknown.select("part").distinct().select("part", F.explode(_grams("part", size)).alias("run")))
+    own = F.concat(*[_grams("table", n) for n in (1, 2, 3)])
+    postings = materialize(
+        nodes.withColumn("run", F.explode(own)).join(runs.select("run").distinct(), "run", "left_semi")
+    )
+    counts = postings.groupBy("run").agg(F.count("*").alias("n"))
+    rarest = (
+        runs.join(counts, "run", "left")
+        .groupBy("part")
+        .agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)), "run")).alias("run"))
+    )
+    order = W.partitionBy("part").orderBy("priority", "name")
+    first = (
+        rarest.join(postings, "run")
+        .where(F.contains("table", F.col("part")))
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= limit)
+    )
+    return unknown.join(first, "part").select("asked", "name", "priority")

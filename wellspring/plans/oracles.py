@@ -417,6 +417,7 @@ ORACLES = {
     "j02_dwh_lake_pairs": with_(CONFS, LAKE, PAIRS, select="SELECT * FROM pairs"),
     # dependencies
     "j01_job_io": lineage(f"SELECT conf_path, kind, script_path, target, {SORTED.format('sources')} AS sources FROM refs LEFT JOIN io ON io.path = refs.script_path"),
+    "k01_replaced_rows": with_(SCRIPTS, CLEAN, IO, select="SELECT DISTINCT target, unnest(sources) AS dep FROM io WHERE target IS NOT NULL"),
     "a01_table_deps": lineage("SELECT target, dep FROM edges"),
     "a02_table_attrs": lineage("SELECT * FROM attrs"),
     "a03_raw_of_external": lineage("SELECT cdr_name, v.r AS raw_directory, v.t AS tt_directory FROM raws"),
@@ -580,6 +581,19 @@ ORACLES = {
     "r05_of_table": report(f"""SELECT * FROM ({DIAGNOSTIC}) WHERE "table" = 'cdr.tt_3'"""),
     "r02_of_table": report("""SELECT * FROM deps WHERE "table" = 'agg.t_5'"""),
     "r06_similar_tables": report("""SELECT name, priority FROM names JOIN ranks USING ("table") WHERE contains("table", 'mon') ORDER BY priority, name LIMIT 5"""),
+    "r06_of_tables": with_(
+        SCRIPTS,
+        CONFS,
+        CLEAN,
+        IO,
+        LAKE,
+        TABLE_SCRIPTS,
+        CATALOG,
+        *[part for part in REPORT if not part.startswith("pairs ")][:6],
+        cte("asked", """SELECT DISTINCT asked, lower(asked) AS t FROM (SELECT concat(owner, '.', table_name) AS asked FROM catalog_rows UNION SELECT "table" FROM table_scripts)"""),
+        select="""SELECT asked, name, priority FROM asked JOIN names ON contains("table", split_part(t, '.', 1)) JOIN ranks USING ("table")
+          WHERE t NOT IN (SELECT "table" FROM names) QUALIFY row_number() OVER (PARTITION BY asked ORDER BY priority, name) <= 5""",
+    ),
     "r07_degrees": report(
         """SELECT t AS "table", (SELECT count(*) FROM pairs WHERE src = t) AS nb_dependencies, (SELECT count(*) FROM pairs WHERE dep = t) AS nb_users
            FROM (SELECT DISTINCT t FROM cells)"""

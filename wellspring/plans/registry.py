@@ -157,6 +157,18 @@ def _(i: Inputs) -> DataFrame:
     return i.spark.read.csv(path, header=True)
 
 
+@query("k01_replaced_rows")
+def _(i: Inputs) -> DataFrame:
+    """The sink after three writes: all targets, with the comments' sources too; all targets again;
+    and those of one layer."""
+    path = work_dir(i.spark)
+    loose = scripts.script_io(i.scripts, strip_comments=False)
+    for rows in (loose, i.io, i.io.where(F.startswith("target", F.lit("AGG.")))):
+        rows = rows.where(F.col("target").isNotNull()).select("target", F.explode("sources").alias("dep"))
+        sinks.replace_rows(rows.distinct(), path, "target")
+    return sinks.read_rows(i.spark, path)
+
+
 @query("k04_file_paths")
 def _(i: Inputs) -> DataFrame:
     path = work_dir(i.spark)
@@ -670,6 +682,16 @@ def _(i: Inputs) -> DataFrame:
     return rows.withColumn("priority", F.col("priority").cast("long"))
 
 
+@query("r06_of_tables")
+def _(i: Inputs) -> DataFrame:
+    """Suggestions for every catalog table and every table that a script loads."""
+    asked = i.fields.select(F.col("table_name").alias("asked")).unionByName(
+        i.table_scripts.select(F.col("table").alias("asked"))
+    )
+    rows = report.suggestions(i.clean_report, asked)
+    return rows.withColumn("priority", F.col("priority").cast("long"))
+
+
 @query("r07_degrees")
 def _(i: Inputs) -> DataFrame:
     return report.degrees(i.clean_report)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.operators.flows import parse_flows
@@ -36,3 +39,59 @@ def write_paths(files: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def write_flow_json(flows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Flow exports as JSON lines, keys in order; malformed exports are left out."""
     parse_flows(flows).select(F.to_json("doc").alias("value")).write.mode(mode).text(path)
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """``number, folder, columns`` of the committed writes below ``path``."""
+    try:
+        return spark.read.json(f"{path}/manifest", schema="number long, folder string, columns string")
+    except AnalysisException:  # nothing was committed yet
+        return None
+
+
+def replace_rows(rows: DataFrame, path: str, key: str) -> None:
+    """Writes rows so that those of the same keys that stood below ``path`` are replaced by them.
+
+    Each write has a folder of its own for its rows and one for its keys. The manifest entry that
+    makes them count is written last, as one file: a job that is killed before leaves the old rows, and
+    a rerun replaces what an earlier run wrote. An entry's number can be given once only, so of two
+    writers at a time one fails. Keys whose rows are gone stay as they are; to empty a key, write its
+    rows anew under another sink.
+    """
+    spark = rows.sparkSession
+    done = _manifest(spark, path)
+    number = 1 + ((done.agg(F.max("number")).first()[0] or 0) if done is not None else 0)
+    folder = f"{path}/rows/{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    stored = spark.read.schema(rows.schema).parquet(folder)
+    stored.select(F.col(key).alias("key")).distinct().write.parquet(f"{folder}-keys")
+    entry = spark.range(1).select(
+        F.lit(number).alias("number"),
+        F.lit(folder).alias("folder"),
+        F.lit(key).alias("columns"),
+    )
+    entry.coalesce(1).write.json(f"{path}/manifest/entry={number}")
+
+
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows below ``path``: for every key those of the last committed write that has it."""
+    done = _manifest(spark, path)
+    if done is None:
+        raise ValueError(f"nothing was written to {path}")
+    writes = [(r.number, r.folder, r.columns) for r in done.orderBy("number").collect()]
+    key = writes[-1][2]
+    newest = None
+    for number, folder, _ in writes:
+        keys = spark.read.parquet(f"{folder}-keys").withColumn("number", F.lit(number))
+        newest = keys if newest is None else newest.unionByName(keys)
+    newest = newest.groupBy("key").agg(F.max("number").alias("number"))
+    found = None
+    for number, folder, _ in writes:
+        rows = spark.read.parquet(folder).withColumn("number", F.lit(number))
+        found = rows if found is None else found.unionByName(rows)
+    valid = newest.select(F.col("key").alias("valid_key"), F.col("number").alias("valid_number"))
+    return found.join(
+        valid,
+        F.col(key).eqNullSafe(F.col("valid_key")) & (F.col("number") == F.col("valid_number")),
+        "left_semi",
+    ).drop("number")
