@@ -254,3 +254,12 @@ def test_shuffled_shards(spark):
     few = shuffle_shards.shard(docs.limit(3), shards=16)
     path = shuffle_shards.write_shards(few)
     assert spark.read.parquet(path).count() == 3
+
+
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_self_similar_words_are_different_words(spark, size):
+    """One-word texts that clash under hashes by powers of one factor modulo 2**64."""
+    ones = [bin(i).count("1") % 2 for i in range(size)]
+    texts = ["".join("ab"[i] for i in ones), "".join("ba"[i] for i in ones), "".join("ab"[i] for i in ones)]
+    found = jaccard_join.components(docs_of(spark, texts, [1, 2, 3]), 3, (90, 100)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (2, 2), (3, 1)]

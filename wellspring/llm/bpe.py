@@ -67,6 +67,11 @@ def _places(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _Shared.places
 
 
+def word_factors(n: int) -> np.ndarray:
+    """Random odd factors for at least the first ``n`` places of a word."""
+    return _places(n)[0]
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd factor and of its inverse modulo 2**64."""
     if _Shared.powers is None or len(_Shared.powers[0]) < n:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm.components import connected
+from wellspring.llm.bpe import word_factors
 from wellspring.session import materialize
 
 #: Ratio of the sizes at the two ends of a band.
@@ -48,7 +49,6 @@ CHUNK_BYTES = 1 << 21
 
 _U = np.uint64
 _FACTOR = _U(0x9E3779B97F4A7C15)
-_POWERS: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -59,16 +59,6 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, CHUNK_BYTES) + 1
-        up = np.full(size, _FACTOR)
-        down = np.full(size, _U(pow(int(_FACTOR), -1, 1 << 64)))
-        up[0] = down[0] = 1
-        _POWERS["up"], _POWERS["down"] = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
-    return _POWERS["up"], _POWERS["down"]
-
-
 _MARK = np.random.default_rng(11).integers(0, 2**64, 256, np.uint64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -91,9 +81,11 @@ def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]
     stops = np.flatnonzero(word & (edge[1:] | ~np.append(word[1:], False))) + 1
     if not len(begins):
         return np.zeros(0, np.int64), np.zeros(0, _U)
-    up, down = _powers(len(data))
-    sums = np.append(_U(0), np.cumsum(_MARK[data] * up[: len(data)], dtype=_U))
-    words = mix((sums[stops] - sums[begins]) * down[begins])
+    # factors by place within a word are independent, so self-similar words do not clash
+    place = np.arange(begins[0], len(data)) - np.repeat(begins, np.diff(np.append(begins, len(data))))
+    own = data[begins[0] :]
+    values = _MARK[own] * word_factors(int((stops - begins).max()))[np.where(_BLANK[own], 0, place)]
+    words = mix(np.add.reduceat(np.where(_BLANK[own], _U(0), values), begins - begins[0]))
     doc = np.searchsorted(ends, begins, side="right")
     n_words = np.bincount(doc, minlength=len(texts))
     first = np.cumsum(n_words) - n_words
