@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -113,6 +114,41 @@ PAGE = (
 )
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<html><head><title>T</title><body><article><p>Text", ["Text"]),
+        ("<head><meta charset=x><title>T</title><p>one<p>two", ["one", "two"]),
+        ("<head><title>T</title>text at once", ["text at once"]),
+        ("<title>never closed<p>text", ["never closed", "text"]),
+        ("<p>a<svg><title>x</title><p>b", ["a", "b"]),
+        ("<object>x<object>y</object>z</object><p>b", ["b"]),
+        ("<iframe src=x><p>b", ["b"]),
+        ("<iframe><p>x</iframe><p>b", ["b"]),
+        ("<svg/><p>b</p><svg>x</svg>", ["b"]),
+        ("<div data-x=it's>b</div><i>c</i>", ["b", "c"]),
+        ("<div title='a>b' id=\"x>y\">b</div>", ["b"]),
+        ("<p title=\"never closed>a<p>b", ["a", "b"]),
+        ("a<!-- <p> -->b<!-- never closed <p>c", ["ab"]),
+        ("<SCRIPT>x</Script ><p>b<style>never closed", ["b"]),
+        ("a < b & 3<4<p>c <b", ["a < b & 3<4", "c"]),
+        ("<!doctype html><?xml x?></3><p>b</p>", ["b"]),
+    ],
+)
+def test_blocks_of_odd_pages(page, want):
+    assert [b.text for b in html_blocks.blocks(page)] == want
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", "<a x=\"", "<svg>", "<svg><svg ", "<!", "<!--", "</p ", "<object></object>", "<p a='", "<title>", "&lt;<", "<template><b>"]
+)
+def test_hostile_pages_take_linear_time(part):
+    page = part * (1_000_000 // len(part))
+    start = time.process_time()
+    html_blocks.blocks(page)
+    assert time.process_time() - start < 5
+
+
 def test_blocks():
     found = html_blocks.blocks(PAGE)
     assert [b.text for b in found] == ["Home", "Buy now", "Title & more", "First part of it é", "Second", "© someone"]

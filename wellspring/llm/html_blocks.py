@@ -5,12 +5,15 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 
 # HTML elements by their part in the layout.
-UNSEEN = "script style noscript template svg math iframe object canvas head".split()
+RAW = "script style title".split()
+HIDDEN = "noscript template svg math iframe object canvas".split()
+HEAD = set("head base link meta".split()) | set(RAW) | set(HIDDEN)
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr br".split()
@@ -25,13 +28,10 @@ CLOSES = {
 for _tag in "article aside div dl footer form h1 h2 h3 h4 h5 h6 header main nav ol section table ul".split():
     CLOSES[_tag] = {"p"}
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(UNSEEN) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
+_TAG = re.compile(r"<(/?)([a-z][a-z0-9:-]*)", re.IGNORECASE)
+# a quote opens a value only behind an equals sign; no part is tried twice
+_ATTRIBUTES = re.compile(r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)>")
+_ENDS = {tag: re.compile(rf"<(/?){tag}(?![a-z0-9:-])[^<>]*+>?", re.IGNORECASE) for tag in RAW + HIDDEN}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 
@@ -86,30 +86,87 @@ class _Page:
                 return
 
 
+def _behind(page: str, tag: str, at: int) -> int | None:
+    """Where an unseen element whose content begins at ``at`` ends; None if nothing closes it."""
+    depth, last = 1, None
+    for found in _ENDS[tag].finditer(page, at):
+        if found[1]:
+            depth, last = depth - 1, found.end()
+        elif tag in HIDDEN:
+            depth += 1
+        if not depth:
+            break
+    return last
+
+
+def _markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``start, end, tag, closing, attributes`` of all markup, the tag empty for comments and elements
+    whose content is not shown. What is left open at the end of the page: a script or a style sheet
+    takes the rest, and so do a comment and a tag; other elements are taken as if they were not
+    there. The time grows with the length of the page, whatever stands in it."""
+    at, unclosed = page.find("<"), set()
+    while at >= 0:
+        found = _TAG.match(page, at)
+        end = at + 1
+        if found:
+            rest = _ATTRIBUTES.match(page, found.end())
+            if not rest:
+                yield at, len(page), "", False, ""
+                return
+            end, tag, attributes = rest.end(), found[2].lower(), rest[1]
+            if found[1] or tag not in _ENDS or tag in unclosed or (tag in HIDDEN and attributes.endswith("/")):
+                yield at, end, tag, bool(found[1]), attributes
+            else:
+                behind = _behind(page, tag, end)
+                if behind is None:
+                    unclosed.add(tag)
+                    behind = len(page) if tag in ("script", "style") else end
+                yield at, behind, tag, True, ""
+                end = behind
+        elif page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            end = close + 3 if close >= 0 else len(page)
+            yield at, end, "", False, ""
+        elif page.startswith(("<!", "<?", "</"), at):
+            close = page.find(">", at)
+            end = close + 1 if close >= 0 else len(page)
+            yield at, end, "", False, ""
+        at = page.find("<", end)
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order: white space runs are one blank, ends are trimmed, character
-    references decoded. Block-level tags end a block, inline ones and line breaks do not."""
-    out, at = _Page(), 0
-    for found in _MARKUP.finditer(page):
-        if found.start() > at:
-            out.add(page[at : found.start()])
-        at = found.end()
-        tag = found[3]
-        if tag is None:
+    references decoded. Block-level tags end a block, inline ones and line breaks do not. The head
+    ends at its end tag, or at a tag or text that cannot stand in it."""
+    out, at, in_head = _Page(), 0, False
+    for start, end, tag, closing, attributes in _markup(page):
+        if start > at:
+            in_head = in_head and page[at:start].isspace()
+            out.add(page[at:start])
+        at = end
+        if not tag:
+            continue
+        if tag == "head":
+            in_head = not closing
+        elif in_head and tag in HEAD:
+            continue
+        else:
+            in_head = False
+        if tag in _ENDS:  # closed or passed over
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                out.links = max(0, out.links + (-1 if found[2] else 1))
+                out.links = max(0, out.links + (-1 if closing else 1))
             elif tag == "br":
                 out.texts.append(" ")
             continue
         out.flush()
-        if found[2]:
+        if closing:
             out.close(tag)
-        elif tag not in VOID and not found[4].endswith("/"):
-            out.open(tag, found[4])
-    out.add(page[at:])
+        elif tag not in VOID and not attributes.endswith("/"):
+            out.open(tag, attributes)
+    if at < len(page):
+        out.add(page[at:])
     out.flush()
     return out.blocks
 

@@ -192,7 +192,6 @@ def train(pages: list[str], seed: int = 0, made: int = MADE_PAGES, epochs: int =
     others = [b.text.replace("<", " ") for own in parsed for b in own if not rule_label(b)] or ["six seven"]
     others += [" ".join(t.split()[: rng.randint(1, 8)]) for t in mains[:200]]
     parsed += [blocks(made_page(mains, others, rng))[:TRAINING_BLOCKS] for _ in range(made)]
-    # a third of the pages lose some of their path names, so that context and words count too
     rows = [(features(own), np.array([rule_label(b) for b in own], np.float32)) for own in parsed if own]
     model = Labeller(draw)
     first = {k: np.zeros_like(v) for k, v in model.weights.items()}
