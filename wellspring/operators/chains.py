@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,10 @@ from wellspring.operators.joins import left_join
 from wellspring.operators.paths import Walk
 from wellspring.session import materialize
 
+# Lengths that are known from the enumeration, so that wide reports need not read all paths for them.
+_LONGEST: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
 def chain_id(path: Column) -> Column:
     """Identifier that depends on the path only, hence stable between runs and partitions."""
     return F.md5(F.array_join(path, ">"))
@@ -45,12 +51,15 @@ def warehouse_chains(
     longer = walk.paths(pairs).where(F.size("path") > 2).select("path")
     if through is not None:
         pairs = pairs.where(F.col("path")[1] == through)
-    return pairs.unionByName(longer).select(
+    found = pairs.unionByName(longer).select(
         chain_id(F.col("path")).alias("chain_id"),
         F.col("path")[0].alias("dwh_table"),
         F.col("path")[1].alias("lake_table"),
         "path",
     )
+    if walk.longest > 2:
+        _LONGEST[found] = walk.longest
+    return found
 
 
 def lake_chains(
@@ -71,10 +80,12 @@ def lake_chains(
     elif tables is not None:
         roots = roots.where(F.col("root").isin(tables))
     anchors = roots.select(F.array("root").alias("path"))
-    walked = Walk(edges, keep_cycles=True, max_depth=max_depth).paths(anchors)
-    return walked.select(
+    walk = Walk(edges, keep_cycles=True, max_depth=max_depth)
+    found = walk.paths(anchors).select(
         chain_id(F.col("path")).alias("chain_id"), F.col("path")[0].alias("root"), "path", "is_cycle"
     )
+    _LONGEST[found] = walk.longest
+    return found
 
 
 def display_path(path: Column, is_cycle: Column) -> Column:
@@ -99,6 +110,8 @@ def with_raw(chains: DataFrame, attrs: DataFrame, wins: str = "last") -> DataFra
 
 def longest(chains: DataFrame) -> int:
     """Number of tables in the longest path."""
+    if chains in _LONGEST:
+        return _LONGEST[chains]
     return chains.select(F.max(F.size("path"))).first()[0] or 0
 
 

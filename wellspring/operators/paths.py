@@ -62,16 +62,16 @@ def reaching(edges: DataFrame, table: str) -> DataFrame:
         users = edges.join(last.withColumnRenamed("table", "dep"), "dep", "left_semi")
         new = users.select(F.col("target").alias("table")).distinct().join(known, "table", "left_anti")
         step += 1
-        if not _written(new, f"{base}/step={step}", F.lit(True)):
+        if _written(new, f"{base}/step={step}", F.lit(True)) == [0]:
             return known
 
 
-def _written(rows: DataFrame, path: str, counted: Column) -> int:
-    """Writes ``rows``; the number of those that are ``counted`` comes from the write itself."""
+def _written(rows: DataFrame, path: str, *counted: Column) -> list[int]:
+    """Writes ``rows``; the numbers of those that are ``counted`` come from the write itself."""
     seen = Observation()
-    observed = rows.observe(seen, F.count_if(counted).alias("n"))
+    observed = rows.observe(seen, *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(counted)])
     observed.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
-    return seen.get.get("n") or 0
+    return [seen.get.get(f"n{i}") or 0 for i in range(len(counted))]
 
 
 @dataclass
@@ -99,6 +99,7 @@ class Walk:
             flagged = flagged.join(self.near.withColumn("near", F.lit(True)), "dep", "left")
         self.flagged = materialize(flagged)
         self.levels: list[tuple[int, int]] = []  # depth and number of checkpoints before it
+        self.longest = 0  # tables in the longest complete path
 
     def _read(self, depth: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.base}/depth={depth}")
@@ -106,7 +107,12 @@ class Walk:
     def _write(self, rows: DataFrame, depth: int, checkpoints: int) -> int:
         self.schema = rows.schema
         self.levels.append((depth, checkpoints))
-        return _written(rows, f"{self.base}/depth={depth}", F.col("state") == OPEN)
+        is_open = F.col("state") == OPEN
+        path = f"{self.base}/depth={depth}"
+        open_rows, ended = _written(rows, path, is_open, ~is_open & F.col("passed"))
+        if ended:
+            self.longest = self.own_from + depth
+        return open_rows
 
     def _passed(self, tables: Column) -> Column:
         return F.lit(True) if self.through is None else F.array_contains(tables, F.lit(self.through))
