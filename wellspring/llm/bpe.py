@@ -20,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 #: Characters handled at once. Arrays of this length are what a task holds besides its input.
 CHUNK_CHARS = 1 << 19
 #: Slots of the piece table, and values it may hold before it starts anew.
-SLOT_BITS = 20
+SLOT_BITS = 21
 POOL_VALUES = 1 << 23
 
 LETTER, NUMBER, SPACE, NONE = 1, 2, 3, 9
@@ -151,7 +151,7 @@ class PieceTable:
     def _clear(self) -> None:
         slots = 1 << SLOT_BITS
         self.key1, self.key2 = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
-        self.at, self.size = np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+        self.at, self.size = np.zeros(slots, np.int32), np.zeros(slots, np.int32)
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
 
     def _add(self, values: list) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +221,7 @@ class PieceTable:
         key1, key2 = keys
         key1 |= np.uint64(1)  # zero marks a free slot
         slot = (key1 >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        at, size = self.at[slot], self.size[slot].astype(np.int64)
+        at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         missing = np.flatnonzero((self.key1[slot] != key1) | (self.key2[slot] != key2))
         if len(missing):
             pair = np.empty(len(missing), [("a", np.uint64), ("b", np.uint64)])
@@ -315,6 +315,14 @@ class BatchEncoder:
                 out[i] = ids[lo:hi]
         return out
 
+    def count(self, texts: list[str]) -> np.ndarray:
+        """How many ids each text has."""
+        counts = np.zeros(len(texts), np.int64)
+        for owner, part_ends, _, size in self.table.lookup(texts):
+            ends = np.append(0, np.cumsum(size))[part_ends]
+            np.add.at(counts, owner, np.diff(ends, prepend=0))
+        return counts
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``ids`` of all texts end to end, and ``offsets`` (one more than texts) into them."""
         return joined_values(self.table, texts)

@@ -18,19 +18,21 @@ empty table writes no shard; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.llm.bpe import encoder
-from wellspring.session import materialize, work_dir
+from wellspring.session import work_dir
 
 STRIDE = 256
 #: Records in a shard: 32 MB at the stride above.
 SHARD_ROWS = 60_000
+#: Documents encoded at once.
+BLOCK_DOCS = 1000
 HEADER = 16
 ROUNDS = 4
 NULL_ID = -(1 << 63)
@@ -60,94 +62,145 @@ def feistel(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
+def _parts(sizes: np.ndarray, stride: int) -> np.ndarray:
+    """Sequences of texts of so many ids; a text without ids has one as well."""
+    return np.maximum(-(-sizes // stride), 1)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, stride: int) -> Iterator[tuple]:
+    """``task, doc_ids, doc, part, n_tokens, ids`` of blocks of documents; ``ids`` are those of all
+    sequences of the block end to end."""
+    encode = encoder(tokenizer)
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK_DOCS):
+            block = batch.slice(at, BLOCK_DOCS)
+            ids, offsets = encode.encode(block.column("text").to_pylist())
+            if len(ids) and ids.max() >= 0xFFFF:
+                raise ValueError("ids of two bytes are too small for this vocabulary")
+            sizes = np.diff(offsets)
+            parts = _parts(sizes, stride)
+            doc = np.repeat(np.arange(len(sizes)), parts)
+            part = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+            n_tokens = np.minimum(sizes[doc] - part * stride, stride)
+            task = block.column("task")[0].as_py()
+            yield task, block.column("doc_id"), doc, part, n_tokens, ids.astype("<u2")
+
+
+@dataclass
+class TokenSequences:
+    """Documents (``doc_id, text``) cut into runs of at most ``stride`` ids, in the order of the scan."""
+
+    docs: DataFrame
+    tokenizer: str
+    stride: int
+
+    def _scan(self) -> DataFrame:
+        return self.docs.withColumn("task", F.spark_partition_id())
+
+    def rows(self) -> DataFrame:
+        """``doc_id, part, n_tokens, ids``."""
+        tokenizer, stride = self.tokenizer, self.stride
+
+        def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, doc_ids, doc, part, n_tokens, ids in _cut(batches, tokenizer, stride):
+                offsets = np.append(0, np.cumsum(2 * n_tokens)).astype(np.int32)
+                buffers = [None, pa.py_buffer(offsets), pa.py_buffer(ids)]
+                columns = [
+                    doc_ids.take(pa.array(doc)),
+                    pa.array(part.astype(np.int32)),
+                    pa.array(n_tokens.astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(doc), buffers),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "n_tokens", "ids"])
+
+        return self._scan().mapInArrow(out, "doc_id long, part int, n_tokens int, ids binary")
+
+    def counts(self) -> dict[int, int]:
+        """Sequences by task of the scan."""
+        tokenizer, stride = self.tokenizer, self.stride
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, task = 0, None
+            for batch in batches:
+                task = batch.column("task")[0].as_py()
+                for at in range(0, batch.num_rows, BLOCK_DOCS):
+                    texts = batch.column("text").slice(at, BLOCK_DOCS).to_pylist()
+                    total += int(_parts(encoder(tokenizer).count(texts), stride).sum())
+            if task is not None:
+                yield pa.RecordBatch.from_pydict({"task": pa.array([task], pa.int32()), "n": [total]})
+
+        return dict(self._scan().mapInArrow(count, "task int, n long").collect())
+
+    def records(self, key: int, shard_rows: int) -> tuple[DataFrame, int]:
+        """``shard, slot, record``, and how many there are.
+
+        Documents are encoded twice, once to count the sequences of each task, one number a task, and
+        once to write them: encoding again takes less than a stored copy of all ids takes disk. A
+        task that finds another number the second time fails.
+        """
+        counts = self.counts()
+        starts = dict(zip(counts, np.cumsum([0, *counts.values()]).tolist()))
+        n, tokenizer, stride = sum(counts.values()), self.tokenizer, self.stride
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done, task = 0, None
+            for task, doc_ids, doc, part, n_tokens, ids in _cut(batches, tokenizer, stride):
+                numbers = starts[task] + done + np.arange(len(doc))
+                done += len(doc)
+                slot = feistel(numbers, n, key)
+                record = np.full((len(doc), HEADER + 2 * stride), 0xFF, np.uint8)
+                doc_id = np.asarray(doc_ids.fill_null(NULL_ID))[doc]
+                record[:, :8] = doc_id.astype(">i8")[:, None].view(np.uint8)
+                record[:, 8:12] = part.astype(">u4")[:, None].view(np.uint8)
+                record[:, 12:16] = n_tokens.astype(">u4")[:, None].view(np.uint8)
+                own = np.full((len(doc), stride), 0xFFFF, "<u2")
+                own[np.arange(stride) < n_tokens[:, None]] = ids
+                record[:, HEADER:] = own.view(np.uint8)
+                offsets = (np.arange(len(doc) + 1) * record.shape[1]).astype(np.int32)
+                buffers = [None, pa.py_buffer(offsets), pa.py_buffer(record)]
+                columns = [
+                    pa.array(slot // shard_rows),
+                    pa.array(slot),
+                    pa.Array.from_buffers(pa.binary(), len(doc), buffers),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "slot", "record"])
+            if task is not None and done != counts[task]:
+                raise RuntimeError("the documents came in another order when read again")
+
+        return self._scan().mapInArrow(place, "shard long, slot long, record binary"), n
+
+
 def token_sequences(
     docs: DataFrame,
     tokenizer: str,
     stride: int = STRIDE,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> DataFrame:
-    """``doc_id, part, n_tokens, ids``: documents cut into runs of at most ``stride`` ids."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("part", pa.int32()), ("n_tokens", pa.int32()), ("ids", pa.binary())]
-    )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
-        for batch in batches:
-            ids, offsets = encode.encode(batch.column(1).to_pylist())
-            if len(ids) and ids.max() >= 0xFFFF:
-                raise ValueError("ids of two bytes are too small for this vocabulary")
-            raw = ids.astype("<u2").tobytes()
-            doc, part, blobs = [], [], []
-            for key, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:]):
-                for k, at in enumerate(range(lo, max(hi, lo + 1), stride)):
-                    doc.append(key)
-                    part.append(k)
-                    blobs.append(raw[2 * at : 2 * min(at + stride, hi)])
-            columns = [doc, part, [len(b) // 2 for b in blobs], blobs]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-            )
-
+) -> TokenSequences:
+    """Documents as runs of at most ``stride`` ids. ``docs`` must come in the same order when read
+    again, as table scans do."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    return narrow.mapInArrow(cut, "doc_id long, part int, n_tokens int, ids binary")
-
-
-def assign_slots(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """``sequences`` with their ``slot``, and how many there are.
-
-    Sequences are computed twice, once to count them by task and once to write them: encoding again
-    takes less than a stored copy of all ids takes disk. They must come in the same order
-    both times, as those of a table scan do.
-    """
-    place = F.monotonically_increasing_id()
-    rows = sequences.withColumns(
-        {"block": F.shiftright(place, 33), "row": place.bitwiseAND((1 << 33) - 1)}
-    )
-    counts = materialize(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")))
-    ahead = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # one row a task of the scan
-    starts = materialize(
-        counts.select("block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
-    )
-    n = counts.agg(F.sum("n")).first()[0] or 0
-
-    @F.pandas_udf("long")
-    def permuted(numbers: pd.Series) -> pd.Series:
-        return pd.Series(feistel(numbers.to_numpy(), n, key))
-
-    placed = rows.join(starts, "block").withColumn("slot", permuted(F.col("start") + F.col("row")))
-    return placed.drop("block", "row", "start"), n
+    return TokenSequences(narrow, tokenizer, stride)
 
 
 def write_shards(
-    sequences: DataFrame,
+    sequences: TokenSequences,
     key: int = 0,
     stride: int = STRIDE,
     shard_rows: int = SHARD_ROWS,
     path: str | None = None,
 ) -> str:
     """Writes ``shard=K`` folders of one file each below ``path``, and returns ``path``."""
-    placed, n = assign_slots(sequences, key)
-    path = path or work_dir(sequences.sparkSession)
-
-    def big_endian(value: str, size: int):
-        return F.unhex(F.right(F.lpad(F.hex(F.col(value).cast("long")), 16, "0"), F.lit(2 * size)))
-
-    placed = placed.withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
-    record = F.concat(
-        big_endian("doc_id", 8),
-        big_endian("part", 4),
-        big_endian("n_tokens", 4),
-        F.expr(f"rpad(ids, {2 * stride}, x'FF')"),
-    )
-    shard = F.floor(F.col("slot") / shard_rows).cast("long").alias("shard")
-    rows = placed.select(shard, "slot", record.cast("string").alias("record"))
-    ranges = rows.repartitionByRange(max(1, -(-n // shard_rows)), "shard")
-    ordered = ranges.sortWithinPartitions("shard", "slot").select("shard", "record")
-    ordered.write.partitionBy("shard").option("lineSep", "\n").text(path)
+    if stride != sequences.stride:
+        raise ValueError(f"the sequences have a stride of {sequences.stride}")
+    rows, n = sequences.records(key, shard_rows)
+    path = path or work_dir(rows.sparkSession)
+    # the shard is the number of the partition: no sampling, no hashing
+    dealt = rows.repartitionById(max(1, -(-n // shard_rows)), F.col("shard").cast("int"))
+    ordered = dealt.sortWithinPartitions("shard", "slot")
+    record = F.col("record").cast("string").alias("record")
+    ordered.select("shard", record).write.partitionBy("shard").option("lineSep", "\n").text(path)
     return path
 
 
