@@ -1,6 +1,8 @@
 """Golden cases for column lineage, field tracking and the plans behind them."""
 
-from wellspring.operators import chains, projections, scripts, tracking
+from pyspark.sql import functions as F
+
+from wellspring.operators import chains, projections, scripts, tokens, tracking
 
 
 def items(spark, *texts, ddl=None):
@@ -193,3 +195,14 @@ def test_chain_steps_keep_tables_without_script(spark):
     files = spark.createDataFrame([("H", "/s/1"), ("H", "/s/2")], "table string, path string")
     steps = chains.chain_steps(rows, files).collect()
     assert sorted((r.position, r.table, r.script_path or "") for r in steps) == [(1, "H", "/s/1"), (1, "H", "/s/2"), (2, "D", "")]
+
+
+def test_partitions_hold_a_bounded_amount_of_text(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "TEXT_CHARS", 2_000)
+    text = F.concat(F.lit("INSERT INTO m.t"), "id", F.lit(" SELECT a.x, SUM(a.y) z FROM s.u a GROUP BY a.x"))
+    corpus = spark.range(2000).withColumn("id", F.col("id").cast("string"))
+    corpus = corpus.select(F.concat(F.lit("/s/"), "id").alias("path"), text.alias("content"))
+    placed = tokens.tokens(corpus.unionByName(corpus)).withColumn("part", F.spark_partition_id())
+    sizes = placed.groupBy("part").agg(F.sum(F.length("tok")).alias("n")).collect()
+    assert max(r.n for r in sizes) < 8_000
+    assert placed.select("doc", "part").distinct().count() == 2000

@@ -2,19 +2,24 @@
 
 Scripts are cut into tokens with one regular expression and understood with window functions: no
 parser. Everything is keyed by ``doc``, the hash of a script's text. Equal scripts are analysed
-once, and the shuffle that removes the copies also places all tokens of a script in one partition,
-so the windows that follow sort but do not shuffle again.
+once and dealt out by their text's size: all tokens of a script are in one partition, so the windows
+that follow sort but do not shuffle again, and a partition holds a bounded amount of text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wellspring.functions import patterns as P
 from wellspring.functions import text as X
 from wellspring.operators.scripts import statements
+from wellspring.session import materialize
+
+#: Characters of script text in a partition. As tokens they take several hundred times as much in
+#: the sorts of one task, and partitions cannot be split any more when that is seen.
+TEXT_CHARS = 512 * 1024
 
 
 def doc_key(content: Column) -> Column:
@@ -28,6 +33,18 @@ def unique_scripts(scripts: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(docs: DataFrame) -> DataFrame:
+    """``docs`` by ``doc`` in as many partitions as their text asks for, however large the corpus.
+
+    They are written once, and the write tells the size.
+    """
+    seen = Observation()
+    chars = F.sum(F.length("content")).alias("chars")
+    docs = materialize(docs.observe(seen, chars))
+    parts = (seen.get.get("chars") or 0) // TEXT_CHARS + 1
+    return docs.repartition(max(parts, docs.sparkSession.sparkContext.defaultParallelism), "doc")
+
+
 def tokens(scripts: DataFrame) -> DataFrame:
     """``doc, stmt, pos, tok`` with neighbours and depth, of the cleaned distinct scripts.
 
@@ -35,7 +52,7 @@ def tokens(scripts: DataFrame) -> DataFrame:
     ``after_operand`` says that the token before may end an expression: a name is then an alias, a
     sign a binary operator.
     """
-    docs = unique_scripts(scripts).select(
+    docs = _dealt(unique_scripts(scripts)).select(
         F.col("doc").alias("path"), X.clean_script(F.col("content")).alias("content")
     )
     words = F.filter(
