@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wellspring.operators import catalog, flows, report
+from wellspring.plans import registry
 from wellspring.session import work_dir
 from wellspring.sources import catalog as catalogs
 from wellspring.sources import corpus, report_csv, sinks
@@ -22,6 +23,27 @@ def test_corpus_is_recursive_and_decodes(spark, tmp_path):
     assert corpus.list_files(spark, str(tmp_path)).count() == 2
 
 
+@pytest.mark.parametrize("charset", ["UTF-8", "ISO-8859-1"])
+def test_scripts_are_files_without_folders_of_their_own(spark, tmp_path, monkeypatch, charset):
+    monkeypatch.setattr(registry, "work_dir", lambda _: f"file://{tmp_path}/out")
+    inputs = registry.Inputs(spark, "/root/testdata/sf0.001")
+    read = registry._written_out(inputs, charset).collect()
+    files = [f for f in (tmp_path / "out").rglob("*") if f.is_file()]
+    assert len(files) == len({r.k for r in read}) == len(read) == inputs.scripts.count()
+    assert {f.read_bytes().decode(charset) for f in files} == {r.content for r in read}
+    assert sum(f.is_dir() for f in (tmp_path / "out").rglob("*")) <= 1 + len(files) // 1000
+
+
+def test_files_of_any_content(spark, tmp_path):
+    rows = [("a b/1%.x", bytearray(b"\xe9\r\n")), ("2.x", bytearray(b"")), ("a b/c/3.x", None)]
+    out = spark.createDataFrame(rows, "path string, content binary")
+    for root in (f"{tmp_path}/o", f"file:{tmp_path}/o", f"file://{tmp_path}/o"):
+        assert sinks.write_files(out, root) == 3
+    assert (tmp_path / "o/a b/1%.x").read_bytes() == b"\xe9\r\n"
+    assert (tmp_path / "o/2.x").read_bytes() == (tmp_path / "o/a b/c/3.x").read_bytes() == b""
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["o"]
+
+
 def test_flow_exports(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"processGroups": [], "identifier": "i", "name": "é", "x": [1, {"a, {": None}]}, indent=4, ensure_ascii=False))
     (tmp_path / "b.json").write_text("{broken")

@@ -113,16 +113,14 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _written_out(i: Inputs, charset: str) -> DataFrame:
-    """The scripts as files, one each, read back with ``charset``."""
+    """The scripts as files, one each, a thousand a folder, read back with ``charset``."""
     root = work_dir(i.spark)
-    text = F.encode(F.concat("content", F.lit(" é")), charset).cast("string")
-    number = F.regexp_extract("path", r"(\d+)\.hql$", 1).alias("k")
-    i.scripts.select(number, text.alias("value")).write.partitionBy("k").text(root)
-    files = corpus.read_files(i.spark, root, charset, glob="part-*")
-    return files.select(
-        F.regexp_extract("path", r"/k=(\d+)/", 1).cast("long").alias("k"),
-        F.regexp_replace("content", r"\n$", "").alias("content"),
-    )
+    k = F.regexp_extract("path", r"(\d+)\.hql$", 1).cast("long")
+    name = F.concat(F.floor(k / 1000), F.lit("/"), k, F.lit(".hql"))
+    text = F.encode(F.concat("content", F.lit(" é")), charset)
+    sinks.write_files(i.scripts.select(name.alias("path"), text.alias("content")), root)
+    files = corpus.read_files(i.spark, root, charset, glob="*.hql")
+    return files.select(F.regexp_extract("path", r"/(\d+)\.hql$", 1).cast("long").alias("k"), "content")
 
 
 @query("s01_files")

@@ -1,9 +1,13 @@
-"""Where lineage results go. Every writer is a plain distributed Spark write."""
+"""Where lineage results go. Every writer is a distributed Spark write."""
 
 from __future__ import annotations
 
+import posixpath
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +40,34 @@ def write_paths(files: DataFrame, path: str, mode: str = "errorifexists") -> Non
     files.select("path").write.mode(mode).text(path)
 
 
+def write_files(files: DataFrame, root: str) -> int:
+    """``path, content`` (binary) as one file each, at ``path`` below ``root``; how many there are.
+
+    Spark's writers make a folder a file if each row is to have its own, and on a local file system
+    start processes for its permissions. Here tasks write the files themselves, in any store that
+    pyarrow reaches. Paths must be distinct; a task that runs again writes the same files.
+    """
+    if root.startswith("file:"):
+        root = "/" + root.removeprefix("file:").lstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        made = set()
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                full = posixpath.join(base, path)
+                folder = posixpath.dirname(full)
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(full, compression=None) as out:
+                    out.write(content or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    written = files.select("path", "content").mapInArrow(run, "n long")
+    return written.agg(F.sum("n")).first()[0] or 0
+
+
 def write_flow_json(flows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Flow exports as JSON lines, keys in order; malformed exports are left out."""
     parse_flows(flows).select(F.to_json("doc").alias("value")).write.mode(mode).text(path)
