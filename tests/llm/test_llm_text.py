@@ -196,6 +196,26 @@ def test_jaccard_star_of_many_near_copies(spark):
     assert sorted(map(tuple, got)) == sorted(groups_brute(ids, texts, 3, 90, 100))
 
 
+def test_jaccard_outsiders_meet_at_rare_differences_only(spark, monkeypatch):
+    written = []
+
+    def kept(df):
+        written.append(df.cache())
+        return written[-1]
+
+    monkeypatch.setattr(jaccard_join, "materialize", kept)
+    schema = "hub long, cls long, n long, root long, out boolean, size long, overlap long"
+    # 40 members differ from their hub in 3 tokens that all have and in 20 of their own
+    own = {c: [1000 * c + i for i in range(20)] for c in range(1, 41)}
+    own[40] = own[1][:19] + [99]
+    members = spark.createDataFrame([(0, c, 100, c, c <= 20, 23, 18) for c in own], schema)
+    diffs = [(0, c, [-3, -2, -1] + tokens) for c, tokens in own.items()]
+    differences = spark.createDataFrame(diffs, "a long, b long, diff array<long>")
+    pairs = jaccard_join.outsider_pairs(members, differences, (90, 100)).collect()
+    assert [tuple(r) for r in pairs] == [(40, 1)]
+    assert {r.cls for r in written[0].collect()} == {1, 40}
+
+
 def test_jaccard_keep_one(spark):
     texts = ["a b c d e f g", "A b c d e f g", None, None, "x y z x y z", "a b c d e f g"]
     docs = docs_of(spark, texts, [7, 3, 4, 4, 5, 3])

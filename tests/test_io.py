@@ -1,13 +1,15 @@
 """Sources, sinks and report questions."""
 
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from wellspring.operators import catalog, flows, report
 from wellspring.plans import registry
-from wellspring.session import work_dir
+from wellspring.session import materialize, work_dir
 from wellspring.sources import catalog as catalogs
 from wellspring.sources import corpus, report_csv, sinks
 
@@ -251,3 +253,20 @@ def test_suggestions_for_many_names(spark, demo):
         for r in report.similar_tables(demo, name, limit=2).collect()
     ]
     assert got == sorted(want) and ("o.x", "mon.a") in got
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffles():
+        return {f.name for d in dirs for f in Path(d).rglob("shuffle_*")}
+
+    before = shuffles()
+    rows = spark.range(200_000).groupBy((F.col("id") * 7 % 100_003).alias("k")).count()
+    written = materialize(rows)
+    until = time.time() + 5
+    while (left := shuffles() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert written.count() == 100_003
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

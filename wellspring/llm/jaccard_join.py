@@ -372,10 +372,25 @@ def outsider_pairs(
     from the hub (``a, b, diff``) show them to be similar."""
     num, den = similarity
     diffs = differences.select(F.col("a").alias("hub"), F.col("b").alias("cls"), "diff")
-    # differences come rare ones first, in one order for all members of a hub
-    prefix = F.slice("diff", F.lit(1), F.greatest(F.col("size") - F.col("overlap") + 1, F.lit(0)).cast("int"))
-    prefixes = members.join(diffs, ["hub", "cls"]).select(
-        "hub", "cls", "n", "root", "out", "size", F.posexplode(prefix).alias("pos", "token")
+    held = members.join(diffs, ["hub", "cls"])
+    tokens = held.select("hub", "cls", "out", F.explode("diff").alias("token"))
+    # Only a token that an outsider and another member differ in can be the first in common. All
+    # others count as coming before these, which come rare ones first.
+    own = Window.partitionBy("hub", "token")
+    tokens = tokens.withColumns(
+        {"freq": F.count(F.lit(1)).over(own), "outs": F.count(F.when(F.col("out"), 1)).over(own)}
+    ).where("freq > 1 AND outs > 0")
+    # the differences of one set: no more than its words and the hub's
+    ranked = tokens.groupBy("hub", "cls").agg(
+        F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("ranked")
+    )
+    earlier = F.col("size") - F.size("ranked")
+    prefix = F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - F.col("overlap") + 1, F.lit(0)).cast("int"))
+    prefixes = members.join(ranked, ["hub", "cls"]).select(
+        "hub", "cls", "n", "root", "out", "size", earlier.alias("earlier"), F.posexplode(prefix).alias("pos", "t")
+    )
+    prefixes = prefixes.select(
+        "hub", "cls", "n", "root", "out", "size", (F.col("earlier") + F.col("pos")).alias("pos"), F.col("t.token").alias("token")
     )
     prefixes = materialize(prefixes)
     left = prefixes.where("out").select(*[F.col(c).alias(f"x_{c}") for c in prefixes.columns])
@@ -403,8 +418,7 @@ def outsider_pairs(
 def verify(pairs: DataFrame, texts: DataFrame, shingle: int, diff: bool = False) -> DataFrame:
     """``a, b, common, total, n_b`` of pairs of classes, from their words: sizes of the
     intersection and the union of their shingles and of ``b``; with ``diff`` also hashes of the
-    shingles that only one of them has: first those that ``a`` lacks, which few others share, then
-    those that ``b`` lacks, each in the order of the hashes."""
+    shingles that only one of them has."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
     # texts grow with the input, so they are merged with the pairs at every size
@@ -414,10 +428,6 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, diff: bool = False)
         [(c, pa.int64()) for c in ("a", "b", "common", "total", "n_b")] + [("diff", pa.list_(pa.int64()))]
     )
 
-    def hashed(shingles: set[tuple[bytes, ...]]) -> np.ndarray:
-        digests = b"".join([blake2b(b" ".join(t), digest_size=8).digest() for t in shingles])
-        return np.sort(np.frombuffer(digests, np.int64))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, set()
         for batch in batches:
@@ -427,9 +437,9 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, diff: bool = False)
                     last, kept = a, word_shingles(one.as_py(), shingle)
                 other = word_shingles(two.as_py(), shingle)
                 same = len(kept & other)
-                odd = (other - kept, kept - other) if diff else ()
-                apart = [hashed(t) for t in odd] or [np.zeros(0, np.int64)]
-                rows.append((a, b, same, len(kept) + len(other) - same, len(other), np.concatenate(apart)))
+                odd = kept ^ other if diff else ()
+                apart = b"".join([blake2b(b" ".join(t), digest_size=8).digest() for t in odd])
+                rows.append((a, b, same, len(kept) + len(other) - same, len(other), np.frombuffer(apart, np.int64)))
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else []
             if rows:
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -22,6 +22,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+#: Shuffle files go when their query ends. Without it they stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
@@ -58,8 +61,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Used where a result is read several times or the plan would otherwise grow without end. The
     files outlive lost executors, and the scan that replaces the plan has true sizes, so Spark
-    knows which sides are small enough to broadcast.
+    knows which sides are small enough to broadcast. The shuffle files of the write go with it.
     """
-    path = work_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = work_dir(spark), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
