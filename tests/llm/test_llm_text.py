@@ -196,6 +196,48 @@ def test_jaccard_star_of_many_near_copies(spark):
     assert sorted(map(tuple, got)) == sorted(groups_brute(ids, texts, 3, 90, 100))
 
 
+@pytest.mark.parametrize("star", [1, 10**6])
+def test_jaccard_stars_and_direct_pairs_alike(spark, monkeypatch, star):
+    monkeypatch.setattr(jaccard_join, "STAR", star)
+    texts = hard_corpus(3)
+    ids = list(range(len(texts)))
+    got = jaccard_join.components(docs_of(spark, texts, ids), 3, (80, 100)).collect()
+    assert sorted(map(tuple, got)) == sorted(groups_brute(ids, texts, 3, 80, 100))
+
+
+def test_jaccard_unrelated_texts_are_not_brought_together(spark, monkeypatch):
+    """Segments that are empty in unrelated texts make pairs, but no texts travel for these."""
+    draw = random.Random(8)
+    texts = [" ".join(draw.choice("abcdefghijklmnop") * 3 + str(draw.randrange(99)) for _ in range(60)) for _ in range(400)]
+    compared, verify = [], jaccard_join.verify
+
+    def counted(pairs, *args, **kwargs):
+        compared.append(pairs.count())
+        return verify(pairs, *args, **kwargs)
+
+    monkeypatch.setattr(jaccard_join, "verify", counted)
+    ids = list(range(len(texts)))
+    got = jaccard_join.components(docs_of(spark, texts, ids), 5, (80, 100)).collect()
+    assert {r.component_id for r in got} == set(ids)
+    assert sum(compared) < 20
+
+
+def test_sketches_never_part_similar_sets():
+    draw = random.Random(9)
+    for _ in range(300):
+        n, edits = draw.randrange(1, 400), draw.randrange(0, 60)
+        words = [f"w{draw.randrange(500)}" for _ in range(n)]
+        pair = [" ".join(words).encode(), " ".join(edited(words, edits, draw)).encode()]
+        doc, token = jaccard_join.shingle_sets(pair, 3)
+        sizes = jaccard_join.fingerprints(doc, token, 2)[0]
+        one, two = (set(token[doc == k].tolist()) for k in (0, 1))
+        sketches = jaccard_join.sketches(doc, token, sizes)
+        similar = 80 * len(one | two) <= 100 * len(one & two)
+        assert jaccard_join.may_be_similar(*sketches, (80, 100)) or not similar
+    assert not jaccard_join.may_be_similar(b"\x09" * 8, b"\x00\x02" * 8, (80, 100))
+    assert jaccard_join.may_be_similar(b"", b"\x09" * 8, (80, 100))
+
+
 def test_jaccard_outsiders_meet_at_rare_differences_only(spark, monkeypatch):
     written = []
 

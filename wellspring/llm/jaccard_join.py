@@ -1,15 +1,20 @@
 """Exact set-similarity join of documents by word shingles, and its connected groups.
 
 Method: sets of a size band are cut into ``m`` segments by hashing their tokens, the same cut for
-all sets. Sets that are similar enough differ in at most ``H`` tokens, and ``m = H + 1``; so for any
-allocation of a budget to segments with ``sum(v + 1) = H + 1`` there is a segment whose two sides
-differ in at most ``v`` tokens. A segment with ``v = 0`` is looked up as it is, with ``v = 1`` also
-without one of its tokens (on either side), with ``v = -1`` not at all. Every set starts with 0
-everywhere; then its most frequent segments go to -1, each paid for by a designated segment that goes
-to 1, as long as that makes its lookups fewer. A set is indexed in its own band and looks up also
-in bands of smaller sets that it can be similar to.
-
-Large groups are never expanded into pairs. In each bucket of equal signatures all members are
+all sets. Sets that are similar enough differ in at most ``H`` tokens; so for any allocation of a
+budget to segments with ``sum(v + 1) = H + 1`` there is a segment whose two sides differ in at most
+``v`` tokens. A segment with ``v = 0`` is looked up as it is, with ``v = 1`` also without one of its
+tokens (on either side), with ``v = -1`` not at all. There are ``m = H + 1`` segments and some spare
+ones, so every set leaves as many of its most frequent segments, the empty ones above all, at -1 and
+starts with 0 elsewhere; then further frequent segments go to -1, each paid for by a designated
+segment that goes to 1, if that makes its lookups fewer. A set is indexed in its own band with all
+segments and looks up also in bands of smaller sets that it can be similar to.
+
+In a bucket of equal signatures that few sets look up, these are paired with all members. A pair
+goes on if sketches (numbers of tokens by hash cells, some bytes for a text's thousands) do not show
+it to differ in too many tokens, so that the texts of few unrelated pairs are brought together.
+
+Large groups are never expanded into pairs. In a bucket that many look up, all members are
 verified against one hub, the member that shares most signatures with others, so a group of near
 copies becomes a star. What is left are members that are not connected to their hub's group. All
 sets of a hub are known by the tokens in which they differ from it, and two sets differ in exactly
@@ -33,7 +38,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm.components import connected
@@ -44,6 +49,12 @@ from wellspring.session import materialize
 BAND_RATIO = 1.4
 #: One segment in so many is designated for one-deletion neighbourhoods.
 DESIGNATED = 32
+#: One spare segment for so many that the pigeonhole needs.
+SPARE = 8
+#: Buckets that so many sets look up become stars.
+STAR = 16
+#: Shingles for a cell of a sketch.
+PER_CELL = 4
 #: Bytes of text that are hashed at once.
 CHUNK_BYTES = 1 << 21
 
@@ -136,12 +147,37 @@ def fingerprints(doc: np.ndarray, token: np.ndarray, n: int) -> tuple[np.ndarray
     return sizes, one, two
 
 
+def sketches(doc: np.ndarray, token: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Numbers of tokens by hash cells, a byte a cell, of each text; empty if a number is over 255."""
+    bits = np.maximum(np.ceil(np.log2(np.maximum(sizes, 1) / PER_CELL)), 3).astype(np.int64)
+    ends = np.cumsum(1 << bits)
+    begins = ends - (1 << bits)
+    cell = mix(token, 9) >> (64 - bits)[doc].astype(_U)
+    counts = np.bincount(begins[doc] + cell.astype(np.int64), minlength=int(ends[-1]) if len(ends) else 0)
+    found = (counts[a:b] for a, b in zip(begins, ends))
+    return [c.astype(np.uint8).tobytes() if c.max() < 256 else b"" for c in found]
+
+
+def may_be_similar(one: bytes, two: bytes, similarity: tuple[int, int]) -> bool:
+    """Whether sets with these sketches can be similar: they differ in as many tokens at least as the
+    numbers in their cells do. Cells are split evenly, so a finer sketch is folded."""
+    if not one or not two:
+        return True
+    if len(one) > len(two):
+        one, two = two, one
+    few = np.frombuffer(one, np.uint8).astype(np.int64)
+    many = np.frombuffer(two, np.uint8).astype(np.int64).reshape(len(few), -1).sum(1)
+    apart, total = int(np.abs(few - many).sum()), int(few.sum() + many.sum())
+    num, den = similarity
+    return (total - apart) * den >= (total + apart) * num
+
+
 class Bands:
-    """Size bands for a similarity of ``num / den``: bounds, segments, designated segments."""
+    """Size bands for a similarity of ``num / den``: bounds, segments, spare ones among these."""
 
     def __init__(self, similarity: tuple[int, int]):
         self.num, self.den = similarity
-        self.low, self.segments = [1], []
+        self.low, self.segments, self.spare = [1], [], []
 
     def partner(self, size: int) -> int:
         """The largest set that a set of ``size`` can be similar to."""
@@ -157,7 +193,10 @@ class Bands:
             high = max(low, int(low * BAND_RATIO) - 1)
             most = high + self.partner(high)
             totals = range(max(2 * low, most - 2 * (self.num + self.den)), most + 1)
-            self.segments.append(1 + max(0, *map(self.differences, totals)))
+            most = max(0, *map(self.differences, totals))
+            # without differences only equal sets are similar
+            self.spare.append(-(-(most + 1) // SPARE) if most else 0)
+            self.segments.append(most + 1 + self.spare[-1])
             self.low.append(high + 1)
 
     def arrays(self, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,15 +309,17 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
 def allocate(shared: DataFrame, bands: Bands) -> DataFrame:
     """``shared`` with ``asks``: whether the set looks this signature up, under its allocation.
 
-    Costs are the numbers of sets that lookups find. If a set's most frequent segments, as many as
-    it has designated ones, find more than the one-deletion neighbourhoods of the latter would,
-    the former go to -1 and the latter to 1; else all stay at 0.
+    Costs are the numbers of sets that lookups find. As many of a set's most frequent segments as
+    there are spare ones go to -1. If as many further ones as there are designated segments find
+    more than the one-deletion neighbourhoods of the latter would, these go to -1 too, designated
+    ones stay, and the latter go to 1; else all others stay at 0.
     """
     meta = F.col("meta")
     counts = shared.groupBy("sig").agg(
         F.count(F.lit(1)).alias("freq"), F.count(F.when(meta.bitwiseAND(WHOLE) > 0, 1)).alias("wholes")
     )
     allowed = F.array(*[F.lit(int(designated(np.int64(m)))) for m in bands.segments])
+    spare = F.array(*[F.lit(s) for s in bands.spare])
     band = F.shiftright(meta, BAND_SHIFT).bitwiseAND(255).cast("int")
     rows = shared.join(counts, "sig").select(
         "sig",
@@ -294,32 +335,61 @@ def allocate(shared: DataFrame, bands: Bands) -> DataFrame:
         .otherwise(F.col("wholes"))
         .alias("extra"),
     )
-    rows = rows.withColumn("limit", F.get(allowed, F.col("band")))
-    # a window over the segments of one set in one band
+    # windows over the segments of one set in one band
     own = Window.partitionBy("cls", "band")
     plain = F.col("whole") & ~F.col("desig")
-    order = own.orderBy(F.when(plain, F.col("freq")).otherwise(0).desc(), "sig", F.col("whole").desc())
-    rows = rows.withColumn("top", plain & (F.row_number().over(order) <= F.col("limit")))
-    saved = F.sum(F.when(F.col("top"), F.col("freq")).otherwise(0)).over(own)
-    swapped = (saved > F.sum("extra").over(own)) & (
-        F.count(F.when(F.col("top"), 1)).over(own) == F.col("limit")
+
+    def most_frequent(kind: Column, number: Column) -> Column:
+        order = own.orderBy(F.when(kind, F.col("freq")).otherwise(0).desc(), "sig", F.col("whole").desc())
+        return kind & (F.row_number().over(order) <= number)
+
+    number = F.get(spare, F.col("band"))
+    rows = rows.withColumns(
+        {
+            "free": most_frequent(F.col("whole"), number),
+            "top": most_frequent(plain, number + F.get(allowed, F.col("band"))),
+        }
     )
-    rows = rows.withColumn("swapped", swapped)
-    asks = F.when(F.col("swapped"), ~F.col("top")).otherwise(F.col("whole"))
-    return rows.select("sig", "cls", "n", "freq", "whole", "own", asks.alias("asks"))
+
+    def cost(left_out: str) -> Column:
+        return F.sum(F.when(F.col("whole") & ~F.col(left_out), F.col("freq")).otherwise(0)).over(own)
+
+    rows = rows.withColumn("swapped", cost("top") + F.sum("extra").over(own) < cost("free"))
+    asks = F.when(F.col("swapped"), ~F.col("top")).otherwise(F.col("whole") & ~F.col("free"))
+    return materialize(rows.select("sig", "cls", "n", "freq", "whole", "own", asks.alias("asks")))
+
+
+def direct_pairs(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Distinct ``a, b``: the sets that ask for a bucket, with all members whose size allows it."""
+    num, den = similarity
+    one = rows.where("asks").select("sig", F.col("cls").alias("a"), F.col("n").alias("n_a"))
+    two = rows.select("sig", F.col("cls").alias("b"), F.col("n").alias("n_b"))
+    fits = (F.col("a") != F.col("b")) & (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+    pairs = one.join(two, "sig").where(fits)
+    return materialize(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+
+
+def pruned(pairs: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``pairs`` that may be similar by their sketches."""
+    left = texts.select(F.col("cls").alias("a"), F.col("sketch").alias("one"))
+    right = texts.select(F.col("cls").alias("b"), F.col("sketch").alias("two"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            kept = pa.array([may_be_similar(x, y, similarity) for x, y in both], pa.bool_())
+            yield batch.select([0, 1]).filter(kept)
+
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "one", "two")
+    return materialize(both.mapInArrow(run, "a long, b long"))
 
 
 def hub_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct ``a, b``: the hub of every bucket that a set asks for, with all its members."""
+    """Distinct ``a, b``: the hub of every bucket, with all its members."""
     support = rows.groupBy("cls").agg(F.sum(F.when(F.col("whole"), F.col("freq")).otherwise(0)).alias("support"))
     ranked = rows.join(support, "cls")
     rank = F.struct("whole", "support", "cls")
-    hubs = ranked.groupBy("sig").agg(
-        F.max_by("cls", rank).alias("hub"),
-        F.bool_or("asks").alias("asked"),
-        F.bool_or("own").alias("owned"),
-    )
-    hubs = hubs.where("asked AND owned").select("sig", "hub")
+    hubs = ranked.groupBy("sig").agg(F.max_by("cls", rank).alias("hub"))
     pairs = rows.select("sig", "cls").join(hubs, "sig").where("cls != hub")
     return materialize(pairs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct())
 
@@ -449,21 +519,24 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, diff: bool = False)
 
 
 def class_texts(docs: DataFrame, sets: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """``cls, text`` of one document of each class in ``classes``, written once."""
+    """``cls, text, sketch`` of one document of each class in ``classes``, written once."""
     one = sets.join(classes.distinct(), "cls").groupBy("cls").agg(F.min("rid").alias("rid"))
     texts = docs.select("rid", F.col("text").cast("binary").alias("text"))
     texts = texts.join(materialize(one).hint("merge"), "rid")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy()
+            keys, found = batch.column(0).to_numpy(), []
             for at, own in chunks(batch.column(1).to_pylist()):
-                _, cls, _ = fingerprints(*shingle_sets(own, shingle), len(own))
+                doc, token = shingle_sets(own, shingle)
+                sizes, cls, _ = fingerprints(doc, token, len(own))
                 if (cls.view(np.int64) != keys[at : at + len(own)]).any():
                     raise ValueError("the documents come in another order when they are read again")
-            yield batch
+                found += sketches(doc, token, sizes)
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "text", "sketch"])
 
-    return materialize(texts.select("cls", "text").mapInArrow(check, "cls long, text binary"))
+    return materialize(texts.select("cls", "text").mapInArrow(check, "cls long, text binary, sketch binary"))
 
 
 def word_shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
@@ -490,12 +563,18 @@ def grouped(
     bands.extend(max(1, sets.agg(F.max("n")).first()[0] or 0))
 
     shared = shared_signatures(signature_rows(docs, shingle, similarity))
-    pairs = hub_pairs(allocate(shared, bands))
-    classes = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+    rows = allocate(shared, bands)
+    asked = rows.groupBy("sig").agg(F.count_if("asks").alias("asked"), F.bool_or("own").alias("owned"))
+    asked = asked.where("asked > 0 AND owned").select("sig", "asked")
+    rows = rows.join(asked, "sig")
+    pairs = hub_pairs(rows.where(F.col("asked") >= STAR))
+    direct = direct_pairs(rows.where(F.col("asked") < STAR), similarity)
+    classes = pairs.unionByName(direct).select(F.explode(F.array("a", "b")).alias("cls"))
     texts = class_texts(docs, sets, classes, shingle)
     verified = verify(pairs, texts, shingle)
     similar = F.col("common") * den >= F.col("total") * num
-    links = verified.where(similar).select("a", "b")
+    links = verified.unionByName(verify(pruned(direct, texts, similarity), texts, shingle))
+    links = links.where(similar).select("a", "b")
     roots = materialize(connected(links))
     members = materialize(unsettled(verified, roots, similarity))
     stars = members.select(F.col("hub").alias("a"), F.col("cls").alias("b"))
