@@ -222,6 +222,36 @@ def test_jaccard_unrelated_texts_are_not_brought_together(spark, monkeypatch):
     assert sum(compared) < 20
 
 
+@pytest.mark.parametrize("outsiders", [0, 5, 512])
+def test_jaccard_outsiders_by_sketches_and_by_differences_alike(spark, monkeypatch, outsiders):
+    monkeypatch.setattr(jaccard_join, "STAR", 1)
+    monkeypatch.setattr(jaccard_join, "OUTSIDERS", outsiders)
+    texts = hard_corpus(6)
+    ids = list(range(len(texts)))
+    got = jaccard_join.components(docs_of(spark, texts, ids), 3, (80, 100)).collect()
+    assert sorted(map(tuple, got)) == sorted(groups_brute(ids, texts, 3, 80, 100))
+
+
+def test_jaccard_no_differences_of_few_outsiders(spark, monkeypatch):
+    """Unrelated texts that share a bucket with a hub are ruled out by sketches."""
+    monkeypatch.setattr(jaccard_join, "STAR", 1)
+    draw = random.Random(8)
+    shared = " ".join(f"s{k}" for k in range(30))
+    texts = [shared + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in range(60)]
+    differing, verify = [], jaccard_join.verify
+
+    def counted(pairs, texts, shingle, diff=False):
+        if diff:
+            differing.append(pairs.count())
+        return verify(pairs, texts, shingle, diff)
+
+    monkeypatch.setattr(jaccard_join, "verify", counted)
+    ids = list(range(len(texts)))
+    got = jaccard_join.components(docs_of(spark, texts, ids), 5, (80, 100)).collect()
+    assert {r.component_id for r in got} == set(ids)
+    assert not differing
+
+
 def test_sketches_never_part_similar_sets():
     draw = random.Random(9)
     for _ in range(300):

@@ -16,8 +16,9 @@ it to differ in too many tokens, so that the texts of few unrelated pairs are br
 
 Large groups are never expanded into pairs. In a bucket that many look up, all members are
 verified against one hub, the member that shares most signatures with others, so a group of near
-copies becomes a star. What is left are members that are not connected to their hub's group. All
-sets of a hub are known by the tokens in which they differ from it, and two sets differ in exactly
+copies becomes a star. What is left are members that are not connected to their hub's group. If a
+bucket has few of these outsiders, they meet its members of other groups by sketches. If it has many, all
+sets of the hub are known by the tokens in which they differ from it, and two sets differ in exactly
 the tokens that only one of these differences has. An outsider differs from its hub in more than
 ``H`` tokens, so to be similar to another member their differences must overlap: a prefix-filtered
 join of the differences, rarest tokens first, finds these pairs. Every link is verified on the
@@ -53,6 +54,8 @@ DESIGNATED = 32
 SPARE = 8
 #: Buckets that so many sets look up become stars.
 STAR = 16
+#: Outsiders of a bucket that are compared with its members by sketches; more, by differences.
+OUTSIDERS = 512
 #: Shingles for a cell of a sketch.
 PER_CELL = 4
 #: Bytes of text that are hashed at once.
@@ -158,18 +161,34 @@ def sketches(doc: np.ndarray, token: np.ndarray, sizes: np.ndarray) -> list[byte
     return [c.astype(np.uint8).tobytes() if c.max() < 256 else b"" for c in found]
 
 
-def may_be_similar(one: bytes, two: bytes, similarity: tuple[int, int]) -> bool:
-    """Whether sets with these sketches can be similar: they differ in as many tokens at least as the
-    numbers in their cells do. Cells are split evenly, so a finer sketch is folded."""
-    if not one or not two:
-        return True
-    if len(one) > len(two):
-        one, two = two, one
-    few = np.frombuffer(one, np.uint8).astype(np.int64)
-    many = np.frombuffer(two, np.uint8).astype(np.int64).reshape(len(few), -1).sum(1)
-    apart, total = int(np.abs(few - many).sum()), int(few.sum() + many.sum())
+def similar_sketches(ones: list[bytes], twos: list[bytes], similarity: tuple[int, int]) -> np.ndarray:
+    """Which pairs of sets with these sketches can be similar: they differ in as many tokens at least
+    as the numbers in their cells do. Cells are split evenly, so a finer sketch is folded."""
     num, den = similarity
-    return (total - apart) * den >= (total + apart) * num
+    found = np.ones(len(ones), bool)
+    lengths: dict[tuple[int, int], list[int]] = {}
+    for i, (one, two) in enumerate(zip(ones, twos)):
+        if one and two:
+            lengths.setdefault((len(one), len(two)), []).append(i)
+    for (n, m), places in lengths.items():
+        least = min(n, m)
+        # so many pairs at once that their cells stay a small array
+        step = max(1, (1 << 20) // max(n, m))
+        for own in (places[k : k + step] for k in range(0, len(places), step)):
+            one, two = (
+                np.frombuffer(b"".join([side[i] for i in own]), np.uint8)
+                .reshape(len(own), least, -1)
+                .sum(2, dtype=np.int32)
+                for side in (ones, twos)
+            )
+            apart, total = np.abs(one - two).sum(1), one.sum(1) + two.sum(1)
+            found[own] = (total - apart) * den >= (total + apart) * num
+    return found
+
+
+def may_be_similar(one: bytes, two: bytes, similarity: tuple[int, int]) -> bool:
+    """``similar_sketches`` of one pair."""
+    return bool(similar_sketches([one], [two], similarity)[0])
 
 
 class Bands:
@@ -376,24 +395,70 @@ def pruned(pairs: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            kept = pa.array([may_be_similar(x, y, similarity) for x, y in both], pa.bool_())
-            yield batch.select([0, 1]).filter(kept)
+            kept = similar_sketches(batch.column(2).to_pylist(), batch.column(3).to_pylist(), similarity)
+            yield batch.select([0, 1]).filter(pa.array(kept))
 
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "one", "two")
     return materialize(both.mapInArrow(run, "a long, b long"))
 
 
-def hub_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct ``a, b``: the hub of every bucket, with all its members."""
+def hubs_of(rows: DataFrame) -> DataFrame:
+    """``sig, hub``: the hub of every bucket."""
     support = rows.groupBy("cls").agg(F.sum(F.when(F.col("whole"), F.col("freq")).otherwise(0)).alias("support"))
     ranked = rows.join(support, "cls")
     rank = F.struct("whole", "support", "cls")
-    hubs = ranked.groupBy("sig").agg(F.max_by("cls", rank).alias("hub"))
+    return materialize(ranked.groupBy("sig").agg(F.max_by("cls", rank).alias("hub")))
+
+
+def hub_pairs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Distinct ``a, b``: the hub of every bucket, with all its members."""
     pairs = rows.select("sig", "cls").join(hubs, "sig").where("cls != hub")
     return materialize(pairs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct())
 
 
+def bucket_members(rows: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``sig, hub, cls, n, asks, root, out, outs``: members of the buckets that have outsiders
+    (``out``: not in the hub's group), ``outs`` of them."""
+    hub_root = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+    members = rows.groupBy("sig", "cls").agg(F.max("n").alias("n"), F.bool_or("asks").alias("asks"))
+    members = members.join(roots.withColumnRenamed("id", "cls"), "cls", "left")
+    members = members.join(hubs.join(hub_root, "hub", "left"), "sig")
+    members = members.withColumn("root", F.coalesce("root", "cls"))
+    members = members.withColumn("out", F.col("root") != F.coalesce("hub_root", "hub"))
+    outs = F.count_if("out").over(Window.partitionBy("sig"))
+    members = members.withColumn("outs", outs).where("outs > 0")
+    return materialize(members.select("sig", "hub", "cls", "n", "asks", "root", "out", "outs"))
+
+
+def sketched_pairs(members: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Distinct ``a, b``: outsiders and other members of one bucket, in different groups so far, that
+    may be similar by their sizes and sketches. Sketches go with the members, and pairs are never
+    shuffled before they are compared."""
+    num, den = similarity
+    held = members.join(texts.select("cls", "sketch"), "cls")
+    held = held.select("sig", "cls", "n", "asks", "root", "out", "sketch")
+    # members are few for the pairs that they make, so their partitions are not put together
+    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = held.repartition(tasks, "sig")
+    left = held.where("out").select("sig", *[F.col(c).alias(f"x_{c}") for c in held.columns[1:]])
+    near = left.join(held, "sig").where(
+        (F.col("root") != F.col("x_root"))
+        & (F.least("n", "x_n") * den >= F.greatest("n", "x_n") * num)
+        & (F.col("asks") | F.col("x_asks"))
+        & (~F.col("out") | (F.col("cls") < F.col("x_cls")))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = similar_sketches(batch.column(2).to_pylist(), batch.column(3).to_pylist(), similarity)
+            yield batch.select([0, 1]).filter(pa.array(kept))
+
+    both = near.select(
+        F.greatest("cls", "x_cls").alias("a"), F.least("cls", "x_cls").alias("b"), "sketch", "x_sketch"
+    )
+    return materialize(both.mapInArrow(run, "a long, b long").distinct())
+
+
 def _most(n, similarity: tuple[int, int]):
     """Most tokens in which similar sets of ``n`` tokens together can differ."""
     num, den = similarity
@@ -567,7 +632,9 @@ def grouped(
     asked = rows.groupBy("sig").agg(F.count_if("asks").alias("asked"), F.bool_or("own").alias("owned"))
     asked = asked.where("asked > 0 AND owned").select("sig", "asked")
     rows = rows.join(asked, "sig")
-    pairs = hub_pairs(rows.where(F.col("asked") >= STAR))
+    stars = rows.where(F.col("asked") >= STAR)
+    hubs = hubs_of(stars)
+    pairs = hub_pairs(stars, hubs)
     direct = direct_pairs(rows.where(F.col("asked") < STAR), similarity)
     classes = pairs.unionByName(direct).select(F.explode(F.array("a", "b")).alias("cls"))
     texts = class_texts(docs, sets, classes, shingle)
@@ -576,10 +643,18 @@ def grouped(
     links = verified.unionByName(verify(pruned(direct, texts, similarity), texts, shingle))
     links = links.where(similar).select("a", "b")
     roots = materialize(connected(links))
-    members = materialize(unsettled(verified, roots, similarity))
-    stars = members.select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-    differences = verify(stars, texts, shingle, diff=True)
-    found = verify(outsider_pairs(members, differences, similarity), texts, shingle).where(similar)
+    members = bucket_members(stars, hubs, roots)
+    near = sketched_pairs(members.where(F.col("outs") <= OUTSIDERS), texts, similarity)
+    found = verify(near, texts, shingle)
+    many = members.where(F.col("outs") > OUTSIDERS)
+    if not many.isEmpty():
+        both = many.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+        members = materialize(unsettled(verified.join(both, ["a", "b"], "left_semi"), roots, similarity))
+        both = members.select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+        differences = verify(both, texts, shingle, diff=True)
+        near = outsider_pairs(members, differences, similarity)
+        found = found.unionByName(verify(near, texts, shingle))
+    found = found.where(similar)
     if not found.isEmpty():
         roots = materialize(connected(links.unionByName(found.select("a", "b"))))
     return sets, roots
