@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from wellspring.llm import components, decontaminate, jaccard_join, quality, shuffle_shards
 
@@ -252,6 +253,88 @@ def test_jaccard_no_differences_of_few_outsiders(spark, monkeypatch):
     assert not differing
 
 
+def test_jaccard_many_outsiders_are_never_paired(spark, monkeypatch):
+    """Unrelated texts that share a passage: pairs would grow with the square of their number."""
+    monkeypatch.setattr(jaccard_join, "STAR", 1)
+    draw = random.Random(12)
+    shared = " ".join(f"s{k}" for k in range(30))
+    texts = [shared + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in range(120)]
+    texts += [texts[0] + " one", texts[1] + " two"]
+    paired, sketched, exact = [], jaccard_join.sketched_pairs, jaccard_join.outsider_pairs
+
+    def counted(members, *args):
+        paired.extend((r.outs, r.all) for r in members.selectExpr("sig", "cast(out as int) o").groupBy("sig").agg(F.sum("o").alias("outs"), F.count("o").alias("all")).collect())
+        return sketched(members, *args)
+
+    def differing(members, *args):
+        assert members.count() < 10
+        return exact(members, *args)
+
+    monkeypatch.setattr(jaccard_join, "sketched_pairs", counted)
+    monkeypatch.setattr(jaccard_join, "outsider_pairs", differing)
+    ids = list(range(len(texts)))
+    got = jaccard_join.components(docs_of(spark, texts, ids), 5, (80, 100)).collect()
+    assert sorted(map(tuple, got)) == sorted(groups_brute(ids, texts, 5, 80, 100))
+    assert all(outs <= 16 for outs, _ in paired)
+
+
+@pytest.mark.parametrize("more", [0, 0.5, 3])
+def test_jaccard_members_that_may_be_similar_meet(spark, monkeypatch, more):
+    monkeypatch.setattr(jaccard_join, "MORE", more)
+    draw = random.Random(13)
+    passage = [f"p{k}" for k in range(20)]
+    texts = [passage + [f"h{k}" for k in range(60)]]
+    for i in range(30):
+        base = passage + [f"u{i}x{k}" for k in range(draw.randint(40, 90))]
+        texts += [base, edited(base, draw.randint(0, 12), draw)] if i % 3 == 0 else [base]
+    sets = sets_brute([" ".join(t) for t in texts], 2)
+    rows, schema = [], "hub long, cls long, n long, root long, out boolean, size long, overlap long"
+    most = lambda n: int(n * 20 / 180)
+    for i, own in enumerate(sets[1:], 1):
+        size, top = len(own ^ sets[0]), most(len(own) + int(len(own) * 100 / 80))
+        rows.append((-5, i, len(own), i, True, size, max(1, size - top)))
+    members = spark.createDataFrame(rows, schema)
+    stored = [(i or -5, bytearray(" ".join(t).encode())) for i, t in enumerate(texts)]
+    stored = spark.createDataFrame(stored, "cls long, text binary")
+    left = {r.cls for r in jaccard_join.meeting(members, stored, 2).collect()}
+    similar = {
+        i for i in range(1, len(sets)) for j in range(1, len(sets))
+        if i != j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+    }
+    assert similar and similar <= left
+    assert len(left) < 25 or not more
+
+
+def test_jaccard_unsettled_members_by_plain_search(spark):
+    draw = random.Random(14)
+    verified, roots, want = [], [(0, 0)], {}
+    sizes = [draw.randrange(1, 400) for _ in range(120)]
+    outs = [draw.random() < 0.3 for _ in sizes]
+    for c, (size, out) in enumerate(zip(sizes, outs), 1):
+        verified.append((0, c, 0, size, 50))
+        if not out:
+            roots.append((c, 0))
+    for c, (size, out) in enumerate(zip(sizes, outs), 1):
+        rest = [s for k, (s, o) in enumerate(zip(sizes, outs), 1) if k != c and (out or o)]
+        if any(abs(s - size) <= 12 for s in rest):
+            want[c] = out
+    verified = spark.createDataFrame(verified, "a long, b long, common long, total long, n_b long")
+    found = jaccard_join.unsettled(verified, spark.createDataFrame(roots, "id long, root long"), (80, 100))
+    assert {r.cls: r.out for r in found.collect()} == want
+    assert "rowframe, 1, unboundedfollowing" not in found._jdf.queryExecution().toString().lower()
+
+
+def test_jaccard_batches_of_texts_are_small(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, "10000")
+    for rows, within in ((before, "1024"), ("100", "100"), ("0", "1024")):
+        spark.conf.set(name, rows)
+        with jaccard_join.small_batches(spark):
+            assert spark.conf.get(name) == within
+        assert spark.conf.get(name) == rows
+    spark.conf.set(name, before)
+
+
 def test_sketches_never_part_similar_sets():
     draw = random.Random(9)
     for _ in range(300):

@@ -20,9 +20,10 @@ copies becomes a star. What is left are members that are not connected to their
 bucket has few of these outsiders, they meet its members of other groups by sketches. If it has many, all
 sets of the hub are known by the tokens in which they differ from it, and two sets differ in exactly
 the tokens that only one of these differences has. An outsider differs from its hub in more than
-``H`` tokens, so to be similar to another member their differences must overlap: a prefix-filtered
-join of the differences, rarest tokens first, finds these pairs. Every link is verified on the
-words themselves.
+``H`` tokens, so to be similar to another member their differences must overlap. Members whose
+differences have too few tokens in common with any others are left out by counting, without pairs; a
+prefix-filtered join of the other differences, rarest tokens first, finds the pairs. Every link is
+verified on the words themselves.
 
 Equal sets are one class (128-bit fingerprints); only classes are joined.
 
@@ -35,11 +36,12 @@ gives an empty table; other columns are ignored (kept by ``keep_one``).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm.components import connected
@@ -54,12 +56,17 @@ DESIGNATED = 32
 SPARE = 8
 #: Buckets that so many sets look up become stars.
 STAR = 16
-#: Outsiders of a bucket that are compared with its members by sketches; more, by differences.
-OUTSIDERS = 512
+#: Outsiders of a bucket that are compared with its members by sketches; more, by differences. Pairs
+#: grow with this number times the members, so it is small.
+OUTSIDERS = 16
+#: Differences looked at beyond a prefix, for each in it; as many must be in common.
+MORE = 0.5
 #: Shingles for a cell of a sketch.
 PER_CELL = 4
 #: Bytes of text that are hashed at once.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch: with two texts each, still some MB in the JVM's buffers and in Python.
+BATCH_ROWS = 1024
 
 _U = np.uint64
 _FACTOR = _U(0x9E3779B97F4A7C15)
@@ -486,7 +493,9 @@ def unsettled(verified: DataFrame, roots: DataFrame, similarity: tuple[int, int]
     size, outside = F.col("size"), F.when(F.col("out"), F.col("size"))
     order = Window.partitionBy("hub").orderBy("size", "cls")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
+    # the rows after, from the end: a frame without an end is read anew for every row
+    after = Window.partitionBy("hub").orderBy(F.desc("size"), F.desc("cls"))
+    after = after.rowsBetween(Window.unboundedPreceding, -1)
     # the nearest member an outsider could pair with, the nearest outsider any other member could
     below = F.when(F.col("out"), F.lag("size").over(order)).otherwise(F.max(outside).over(before))
     above = F.when(F.col("out"), F.lead("size").over(order)).otherwise(F.min(outside).over(after))
@@ -500,6 +509,64 @@ def unsettled(verified: DataFrame, roots: DataFrame, similarity: tuple[int, int]
     return members.select("hub", "cls", "n", "root", "out", "size", overlap.alias("overlap"))
 
 
+def meeting(members: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """The rows of ``members`` whose differences from their hub have enough tokens in common with those
+    of other members, one of a key an outsider, to be similar to any. Prefixes are enough: in an order
+    that holds for all members of a hub, two sets whose differences share ``overlap`` tokens share ``need``
+    of those that come before the last ``overlap - need`` ones. The hub's own tokens come last, as most
+    outsiders lack them all. Members are counted by token, not paired, so unrelated ones cost no more
+    than their prefixes, and ``need`` is so large that a common passage does not reach it.
+    """
+    more = F.floor((F.col("size") - F.col("overlap")) * MORE).cast("long")
+    need = F.greatest(F.lit(1), F.least("overlap", more))
+    hubs = texts.select(F.col("cls").alias("hub"), F.col("text").alias("hub_text"))
+    both = members.withColumn("need", need).hint("merge").join(texts.select("cls", "text"), "cls")
+    both = both.hint("merge").join(hubs, "hub")
+    both = both.select("hub", "cls", "root", "out", "need", "overlap", "text", "hub_text")
+    names = ["key", "hub", "cls", "root", "out", "need"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kept = None, None
+        for batch in batches:
+            hub, need, overlap = (batch.column(k).to_pylist() for k in (0, 4, 5))
+            for at, own in chunks(batch.column(6).to_pylist()):
+                doc, token = shingle_sets(own, shingle)
+                keys, counts = [], []
+                for i, mine in enumerate(np.split(token, np.searchsorted(doc, np.arange(1, len(own)))), at):
+                    if hub[i] != last:
+                        last, kept = hub[i], shingle_sets([batch.column(7)[i].as_py()], shingle)[1]
+                    place = np.minimum(np.searchsorted(kept, mine), len(kept) - 1)
+                    same = kept[place] == mine
+                    lost = np.ones(len(kept), bool)
+                    lost[place[same]] = False
+                    gained, lost = mine[~same], kept[lost]
+                    first = max(0, len(gained) + len(lost) - overlap[i] + need[i])
+                    order = np.sort(mix(gained, 10))[:first]
+                    if len(order) < first:
+                        order = np.append(order, np.sort(mix(lost, 10))[: first - len(order)])
+                    keys.append(mix(order ^ _U(hub[i] & (1 << 64) - 1), 11))
+                    counts.append(len(order))
+                rows = batch.slice(at, len(own)).select([0, 1, 2, 3, 4])
+                rows = rows.take(pa.array(np.repeat(np.arange(len(own)), counts)))
+                key = pa.array(np.concatenate(keys).view(np.int64))
+                yield pa.RecordBatch.from_arrays([key, *rows.columns], names)
+
+    prefixes = both.mapInArrow(run, "key long, hub long, cls long, root long, out boolean, need long")
+    own = Window.partitionBy("key")
+    met = prefixes.withColumns(
+        {
+            "one": F.min("root").over(own),
+            "other": F.max("root").over(own),
+            "outs": F.bool_or("out").over(own),
+            "least": F.min("need").over(own),
+        }
+    )
+    met = met.where("one != other AND outs").groupBy("hub", "cls").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("least").alias("least")
+    )
+    return materialize(members.join(met.where("shared >= least"), ["hub", "cls"], "left_semi"))
+
+
 def outsider_pairs(
     members: DataFrame, differences: DataFrame, similarity: tuple[int, int]
 ) -> DataFrame:
@@ -612,11 +679,30 @@ def word_shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[k:] for k in range(size))))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ``BATCH_ROWS`` rows at most, in the jobs that run meanwhile."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, "10000")
+    spark.conf.set(name, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def grouped(
     docs: DataFrame, shingle: int, similarity: tuple[int, int]
 ) -> tuple[DataFrame, DataFrame]:
     """``(sets, roots)``: set sizes and classes of ``docs`` (``rid, doc_id, text``), and the root
     of every class that is linked with another."""
+    with small_batches(docs.sparkSession):
+        return _grouped(docs, shingle, similarity)
+
+
+def _grouped(
+    docs: DataFrame, shingle: int, similarity: tuple[int, int]
+) -> tuple[DataFrame, DataFrame]:
     num, den = similarity
     sets = materialize(sets_of(docs, shingle))
     clash = sets.groupBy("cls").agg(
@@ -650,10 +736,12 @@ def grouped(
     if not many.isEmpty():
         both = many.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
         members = materialize(unsettled(verified.join(both, ["a", "b"], "left_semi"), roots, similarity))
-        both = members.select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-        differences = verify(both, texts, shingle, diff=True)
-        near = outsider_pairs(members, differences, similarity)
-        found = found.unionByName(verify(near, texts, shingle))
+        members = meeting(members, texts, shingle)
+        if not members.isEmpty():
+            both = members.select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+            differences = verify(both, texts, shingle, diff=True)
+            near = outsider_pairs(members, differences, similarity)
+            found = found.unionByName(verify(near, texts, shingle))
     found = found.where(similar)
     if not found.isEmpty():
         roots = materialize(connected(links.unionByName(found.select("a", "b"))))
