@@ -1,10 +1,12 @@
 """Sources, sinks and report questions."""
 
+import gzip
 import json
 import time
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wellspring.operators import catalog, flows, report
@@ -36,6 +38,55 @@ def test_scripts_are_files_without_folders_of_their_own(spark, tmp_path, monkeyp
     assert sum(f.is_dir() for f in (tmp_path / "out").rglob("*")) <= 1 + len(files) // 1000
 
 
+ODD_FILES = {
+    "a.hql": b"one", "b.txt": b"two \xc3\xa9", "c d+e/1%.hql": b"three\r\n", "c d+e/f/g/h.hql": b"\xe9 four",
+    "empty.hql": b"", ".hidden.hql": b"x", "_x.hql": b"x", "_k=1.hql": b"five", "_metadata": b"m", "x._COPYING_": b"x",
+    "_folder/i.hql": b"x", ".folder/j.hql": b"x", "_k=2/l.hql": b"six", "B.HQL": b"seven", "bom.hql": b"\xef\xbb\xbfeight",
+}
+
+
+@pytest.mark.parametrize("charset", ["UTF-8", "ISO-8859-1"])
+@pytest.mark.parametrize("glob", [None, "*.hql", "{a,b}.[ht]*", "?.hql"])
+@pytest.mark.parametrize("listed", [1, 10_000])
+def test_files_listed_by_tasks_are_those_of_the_file_source(spark, tmp_path, monkeypatch, charset, glob, listed):
+    monkeypatch.setattr(corpus, "LISTED", listed)
+    root = tmp_path / "r"
+    for name, content in ODD_FILES.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+    (root / "no").mkdir()
+    (root / "link.hql").symlink_to(root / "a.hql")
+    (root / "lost.hql").symlink_to(root / "nothing")
+    (root / "linked").symlink_to(root / "c d+e")
+    rows = lambda files: sorted((r.path, bytes(r.content)) for r in files.withColumn("content", F.col("content").cast("binary")).collect())
+    got = [rows(corpus.read_files(spark, start + str(root), charset, glob)) for start in ("", "file:", "file://")]
+    assert got[0] and got[0] == got[1] == got[2]
+    monkeypatch.setattr(corpus, "_local_folder", lambda *_: None)
+    assert got[0] == rows(corpus.read_files(spark, str(root), charset, glob))
+
+
+@pytest.mark.parametrize("charset", ["UTF-8", "ISO-8859-1"])
+def test_the_driver_lists_no_files(spark, tmp_path, charset):
+    (tmp_path / "x").mkdir()
+    for i in range(5):
+        (tmp_path / "x" / f"{i}.hql").write_bytes(b"x")
+    files = corpus.read_files(spark, str(tmp_path), charset, glob="*.hql")
+    assert files.count() == 5
+    assert not [f for f in files.inputFiles() if f.endswith(".hql")]
+
+
+def test_compressed_texts_and_odd_roots_are_read_by_the_file_source(spark, tmp_path):
+    (tmp_path / "a.hql.gz").write_bytes(gzip.compress(b"FROM a.b"))
+    assert [r.content for r in corpus.read_files(spark, str(tmp_path)).collect()] == ["FROM a.b"]
+    (tmp_path / "b.hql").write_bytes(b"one")
+    assert [r.content for r in corpus.read_files(spark, f"{tmp_path}/*.hql").collect()] == ["one"]
+    assert [r.content for r in corpus.read_files(spark, f"{tmp_path}/b.hql", "ISO-8859-1").collect()] == ["one"]
+    with pytest.raises(AnalysisException):
+        corpus.read_files(spark, f"{tmp_path}/none")
+    (tmp_path / "bare").mkdir()
+    assert corpus.read_files(spark, f"{tmp_path}/bare").count() == 0
+
+
 def test_files_of_any_content(spark, tmp_path):
     rows = [("a b/1%.x", bytearray(b"\xe9\r\n")), ("2.x", bytearray(b"")), ("a b/c/3.x", None)]
     out = spark.createDataFrame(rows, "path string, content binary")
